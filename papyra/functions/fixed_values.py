@@ -44,8 +44,8 @@ MIN_TOKEN_LENGTH = 2
 # A sentence runs to a . ! or ? before white space, else to the end of its line.
 SENTENCE_PATTERN = r"(?:\S[^\n]+?[.!?](?:\s+|$))|(?:\S[^\n]+?(?:\n|$))"
 # Abbreviations ("Dr. No", "e.g. a") after which no sentence ends.
-TITLE_ABBREVIATION = (r"([A-Z][a-z]{1,2}\.)", r"(\w)")
-LETTER_ABBREVIATION = (r"(\.[a-zA-Z]\.)", r"(\w)")
+TITLE_ABBREVIATION = (r"([A-Z][a-z]{1,2}\.)", r"([\p{L}\p{N}_])")
+LETTER_ABBREVIATION = (r"(\.[a-zA-Z]\.)", r"([\p{L}\p{N}_])")
 
 # BM25 parameters.
 BM25_K1 = 1.5
