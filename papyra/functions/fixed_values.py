@@ -33,8 +33,9 @@ REMOVED_CHARACTERS = "():,;.’”“?%><≥≤~`'"
 SPACE_CHARACTER = "/"
 
 # Between two tokens stands white space, a quote, a bracket, one of ! @ # $ & *
-# or a double dash.
-TOKEN_SEPARATOR = r"""(?:[\s!@#$&\[\]{}"*«»‘„]|--)+"""
+# or a double dash. Nothing is repeated around the "|": on a long run of separators, that would
+# overflow the stack. The empty words between separators are too short to be tokens.
+TOKEN_SEPARATOR = r"""[\s!@#$&\[\]{}"*«»‘„]+|--"""
 
 # A token starts with a year of 19xx or 20xx, or with a letter a-z followed by
 # nothing but letters, digits, "_" and "-". It has at least two characters.

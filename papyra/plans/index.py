@@ -28,16 +28,17 @@ def build_index(
     """
     spark, stop_words = corpus.sparkSession, tuple(stop_words)
     num_docs = corpus.count()
+    id_type = corpus.schema[id_column].dataType.simpleString()
     write_clustered(
         bm25_postings(corpus, text_column, id_column, stop_words, buckets),
         f"{path}/postings", "bucket", ("term", "doc_id"),
     )
-    postings = spark.read.parquet(f"{path}/postings")
+    postings = _read(spark, path, "postings", id_type)
     write_clustered(bm25_terms(postings, num_docs), f"{path}/terms", "bucket", ("term",))
-    terms = spark.read.parquet(f"{path}/terms")
     # The settings are kept with the statistics: queries must be tokenised as the texts were.
-    stats = bm25_stats(terms, num_docs).select(
+    stats = bm25_stats(_read(spark, path, "terms"), num_docs).select(
         "*",
+        F.lit(id_type).alias("id_type"),
         F.lit(buckets).alias("buckets"),
         F.lit(list(stop_words)).cast("array<string>").alias("stop_words"),
     )
@@ -45,10 +46,20 @@ def build_index(
     return load_index(spark, path)
 
 
+def _read(spark: SparkSession, path: str, table: str, id_type: str = "") -> DataFrame:
+    """An index table; the schema is given, as a corpus without tokens leaves no files."""
+    schema = {
+        "postings": f"term string, doc_id {id_type}, tf bigint, dl int, bucket int",
+        "terms": "term string, df bigint, cf bigint, raw_idf double, bucket int",
+    }
+    return spark.read.schema(schema[table]).parquet(f"{path}/{table}")
+
+
 def load_index(spark: SparkSession, path: str) -> Bm25Index:
     """A stored index."""
-    postings, terms, stats = (
-        spark.read.parquet(f"{path}/{t}") for t in ("postings", "terms", "stats")
+    stats = spark.read.parquet(f"{path}/stats")
+    settings = stats.select("id_type", "buckets", "stop_words").first()
+    return Bm25Index(
+        _read(spark, path, "postings", settings["id_type"]), _read(spark, path, "terms"), stats,
+        settings["buckets"], tuple(settings["stop_words"]),
     )
-    settings = stats.select("buckets", "stop_words").first()
-    return Bm25Index(postings, terms, stats, settings["buckets"], tuple(settings["stop_words"]))
