@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.sources.sizes import spread_if_small
+
 RELEVANT = "the|ou"
 NOISE = "(Publisher|Abstract|Summary|BACKGROUND|INTRODUCTION|thion)"
 COVID_TERMS = ["ertion", "the-?n?re"]
@@ -21,7 +23,9 @@ RARE_QUERY = "Erheed whou, ntwh/tionand!"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Small ones are single row groups, so their texts are dealt out."""
+    given = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_if_small(given) if name == "documents" else given
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:

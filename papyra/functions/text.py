@@ -58,25 +58,23 @@ def term_counts(tokens: Column | str) -> Column:
     distance between two starts is a count. So term frequencies need no shuffle.
     """
 
+    def starts(ordered: Column) -> Column:
+        def start(token: Column, i: Column) -> Column:
+            return F.when(~token.eqNullSafe(F.get(ordered, i - 1)), i)
+
+        return F.array_compact(F.transform(ordered, start))
+
     def counts(ordered: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(1), F.size(ordered)),
-            lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)),
-        )
-        return let(
-            starts,
-            lambda starts: F.transform(
-                starts,
-                lambda start, k: F.struct(
-                    F.get(ordered, start - 1).alias("term"),
-                    (F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1) - start).alias("tf"),
-                ),
-            ),
-        )
-
-    empty = F.array().cast("array<struct<term:string,tf:int>>")
-    tokens = as_column(tokens)
-    return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), counts)).otherwise(empty)
+        def count(starts: Column) -> Column:
+            def run(start: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(starts, k + 1), F.size(ordered))
+                return F.struct(F.get(ordered, start).alias("term"), (end - start).alias("tf"))
+
+            return F.transform(starts, run)
+
+        return let(starts(ordered), count)
+
+    return let(F.sort_array(as_column(tokens)), counts)
 
 
 def shorten(text: Column | str, length: int = fixed.SHORTEN_LENGTH) -> Column:

@@ -11,9 +11,8 @@ from papyra.functions import fixed_values as fixed
 from papyra.functions.text import tokenize
 from papyra.operators.bm25 import Bm25Index, bm25_idf, term_bucket, term_score
 from papyra.sources.scratch import scratch_path
+from papyra.sources.sizes import is_small
 
-# A side counted to hold no more rows than this (of an id, a term and a number) is broadcast.
-BROADCAST_ROWS = 500_000
 # Up to this many hits are looked up by a list of ids that is pushed to the scan.
 LOOKUP_ROWS = 1_000
 # Sums of doubles depend on the order of addition. Scores are ranked to this many decimals, so
@@ -21,11 +20,6 @@ LOOKUP_ROWS = 1_000
 RANK_DECIMALS = 9
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops there."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def query_terms(queries: DataFrame, index: Bm25Index) -> DataFrame:
     """``(qid, bucket, term, repeats)`` for ``queries(qid, text)``: a repeated word counts."""
     terms = queries.select("qid", F.explode(tokenize("text", index.stop_words)).alias("term"))
@@ -72,7 +66,7 @@ def batch_score_parts(index: Bm25Index, queries: DataFrame) -> DataFrame:
     is joined by shuffle, where adaptive execution splits the terms found in most documents.
     """
     wanted = query_terms(queries, index)
-    small = is_small(wanted, BROADCAST_ROWS)
+    small = is_small(wanted)
     return _parts(index, index.terms, index.postings, wanted, small)
 
 
@@ -186,7 +180,7 @@ def attach_documents(hits: DataFrame, corpus: DataFrame) -> DataFrame:
     """
     rows = hits.limit(LOOKUP_ROWS + 1).collect()
     if len(rows) > LOOKUP_ROWS:
-        return corpus.join(F.broadcast(hits) if is_small(hits, BROADCAST_ROWS) else hits, "doc_id")
+        return corpus.join(F.broadcast(hits) if is_small(hits) else hits, "doc_id")
     found = hits.sparkSession.createDataFrame(rows, hits.schema)
     wanted = corpus.filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in rows})))
     return wanted.join(F.broadcast(found), "doc_id")

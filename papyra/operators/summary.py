@@ -145,6 +145,30 @@ def _received(value: Column) -> Column:
     return F.col("idf") * (F.col("gain") * earlier + later)
 
 
+def _step(previous: str) -> str:
+    """One step of PageRank after the statement ``previous``; see ``_received``."""
+    return f"""
+        SELECT * EXCEPT (score),
+            {1 - DAMPING} / reached + {DAMPING} * sum(share) OVER all_units AS score
+        FROM (
+            SELECT * EXCEPT (share),
+                idf * (
+                    gain * coalesce(sum(score * spread) OVER earlier, 0)
+                    + sum(gain * score * spread) OVER holders
+                    - coalesce(sum(gain * score * spread) OVER earlier, 0)
+                    - gain * score * spread
+                ) AS share
+            FROM ({previous})
+            WINDOW
+                holders AS (PARTITION BY doc_id, unit ORDER BY node
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
+                earlier AS (PARTITION BY doc_id, unit ORDER BY node
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+        WINDOW all_units AS (PARTITION BY doc_id, node ORDER BY unit
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
 def _ranks(unit_table: DataFrame, steps: int) -> DataFrame:
     """A row per sentence with its PageRank ``score``; sentences without links score zero."""
     linked = F.col("unit").isNotNull()
@@ -161,10 +185,11 @@ def _ranks(unit_table: DataFrame, steps: int) -> DataFrame:
         F.when(linked, 1 / F.col("strength")).otherwise(0.0).alias("spread"),
         F.when(linked, F.col("strength") / F.col("all_strength")).otherwise(0.0).alias("score"),
     )
-    base = (1 - DAMPING) / F.col("reached")
+    # One statement for all steps: step by step, the growing plan would be analysed each time.
+    statement = "SELECT *, 0D AS share FROM {start}"
     for _ in range(steps):
-        rows = rows.withColumn("share", _received(F.col("score") * F.col("spread")))
-        rows = rows.withColumn("score", base + DAMPING * F.sum("share").over(_node()))
+        statement = _step(statement)
+    rows = unit_table.sparkSession.sql(statement, start=rows)
     # Copies of a node have its score; nodes without links have none.
     reachable = F.max("spread").over(_node()) > 0
     rows = rows.withColumn("score", F.when(reachable, F.col("score")).otherwise(0.0))

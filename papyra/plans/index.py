@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from papyra.functions import fixed_values as fixed
 from papyra.operators.bm25 import BUCKETS, Bm25Index, bm25_postings, bm25_stats, bm25_terms
 from papyra.sources.files import write_clustered
+from papyra.sources.sizes import SPREAD_ROWS, spread
 
 
 def build_index(
@@ -20,7 +21,7 @@ def build_index(
     stop_words: Iterable[str] = fixed.STOP_WORDS,
     buckets: int = BUCKETS,
 ) -> Bm25Index:
-    """Write the three index tables of a text column under ``path``.
+    """Write the three index tables of a text column of a stored table under ``path``.
 
     The text is read once, for the postings; terms come from the stored postings and
     statistics from the stored terms, so a lost executor repeats only its own part. Raise
@@ -28,6 +29,8 @@ def build_index(
     """
     spark, stop_words = corpus.sparkSession, tuple(stop_words)
     num_docs = corpus.count()
+    if num_docs <= SPREAD_ROWS:
+        corpus = spread(corpus)
     id_type = corpus.schema[id_column].dataType.simpleString()
     write_clustered(
         bm25_postings(corpus, text_column, id_column, stop_words, buckets),
