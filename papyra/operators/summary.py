@@ -236,7 +236,9 @@ def summarize(
     """
     texts = df.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts.repartition(partitions, "doc_id")
+    # Ids are never null. Said here, both readers of the shuffled text have the same filter, and
+    # so share one shuffle.
+    texts = texts.filter(F.col("doc_id").isNotNull()).repartition(partitions, "doc_id")
     ranks = _ranks(_unit_table(_sentence_table(texts)), steps)
     chosen = _choose(ranks, word_count)
     summary = let(
