@@ -25,8 +25,10 @@ def add_doc_id(df: DataFrame, name: str = "doc_id", key: str | None = None) -> D
         for c in df.columns
     ]
     lengths = [F.length(f).cast("string") for f in fields]
-    # The lengths keep ("ab", "c") and ("a", "bc") apart.
-    return df.distinct().withColumn(name, F.sha2(F.concat_ws(",", *lengths, *fields), 256))
+    # The lengths keep ("ab", "c") and ("a", "bc") apart. The hash is never null; once Spark
+    # knows, joins on it need no null filter, which would work the hash out a second time.
+    digest = F.sha2(F.concat_ws(",", *lengths, *fields), 256)
+    return df.distinct().withColumn(name, F.coalesce(digest, F.lit("")))
 
 
 def clean_title(df: DataFrame, relevant: str | None = None) -> DataFrame:
@@ -47,7 +49,7 @@ def clean_abstract(df: DataFrame, noise: str | None = None) -> DataFrame:
 def drop_duplicate_texts(
     df: DataFrame, text_column: str = "abstract", id_column: str = "doc_id"
 ) -> DataFrame:
-    """Keep, of the rows with equal text, the one with the lowest id (which must be unique).
+    """Keep, of the rows with equal text, the one with the lowest id. Ids are unique, not null.
 
     Copies are found on a hash and an id, partly before the shuffle, so a text shared by a
     third of all rows costs no more than any other. Whole rows are then moved by their id,

@@ -11,7 +11,7 @@ from papyra.functions import fixed_values as fixed
 from papyra.functions.text import tokenize
 from papyra.operators.bm25 import Bm25Index, bm25_idf, term_bucket, term_score
 from papyra.sources.scratch import scratch_path
-from papyra.sources.sizes import is_small
+from papyra.sources.sizes import can_broadcast
 
 # Up to this many hits are looked up by a list of ids that is pushed to the scan.
 LOOKUP_ROWS = 1_000
@@ -66,7 +66,7 @@ def batch_score_parts(index: Bm25Index, queries: DataFrame) -> DataFrame:
     is joined by shuffle, where adaptive execution splits the terms found in most documents.
     """
     wanted = query_terms(queries, index)
-    small = is_small(wanted)
+    small = can_broadcast(wanted)
     return _parts(index, index.terms, index.postings, wanted, small)
 
 
@@ -180,7 +180,7 @@ def attach_documents(hits: DataFrame, corpus: DataFrame) -> DataFrame:
     """
     rows = hits.limit(LOOKUP_ROWS + 1).collect()
     if len(rows) > LOOKUP_ROWS:
-        return corpus.join(F.broadcast(hits) if is_small(hits) else hits, "doc_id")
+        return corpus.join(F.broadcast(hits) if can_broadcast(hits) else hits, "doc_id")
     found = hits.sparkSession.createDataFrame(rows, hits.schema)
     wanted = corpus.filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in rows})))
     return wanted.join(F.broadcast(found), "doc_id")

@@ -1,4 +1,4 @@
-"""Batch job: ``spark-submit papyra/plans/job.py ENV INPUT FORMAT OUTPUT``.
+"""Batch job: ``spark-submit --py-files papyra.zip papyra/plans/job.py ENV INPUT FORMAT OUTPUT``.
 
 INPUT is one path or several, separated by commas: all files go through one job, so duplicates
 are found across files and the files do not overwrite each other's output.

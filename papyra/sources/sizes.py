@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-# A side counted to hold no more rows than this (of an id, a term and a number) is broadcast.
+# A side found to hold no more rows, and no more bytes of text in them, is broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_TEXT_BYTES = 64 << 20
 # A table of texts with no more rows than this is dealt out to all task slots.
 SPREAD_ROWS = 100_000
 
@@ -15,6 +17,16 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def can_broadcast(df: DataFrame) -> bool:
+    """Whether ``df``, of numbers and short texts, has been measured to be fit for broadcast."""
+    texts = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    size = sum(texts, F.lit(0)) if texts else F.lit(0)
+    rows, text_bytes = df.limit(BROADCAST_ROWS + 1).agg(
+        F.count("*"), F.coalesce(F.sum(size), F.lit(0))
+    ).first()
+    return rows <= BROADCAST_ROWS and text_bytes <= BROADCAST_TEXT_BYTES
+
+
 def spread(df: DataFrame) -> DataFrame:
     """The rows of a small table, dealt out to all task slots."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

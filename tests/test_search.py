@@ -105,13 +105,13 @@ def test_large_results_are_joined(corpus, index, docs, monkeypatch):
     expected = s.search(index, corpus, "hot w1", 12).collect()
     monkeypatch.setattr(s, "LOOKUP_ROWS", 3)
     assert s.search(index, corpus, "hot w1", 12).collect() == expected
-    monkeypatch.setattr(s, "is_small", lambda df, max_rows=0: False)
+    monkeypatch.setattr(s, "can_broadcast", lambda df: False)
     assert s.search(index, corpus, "hot w1", 12).collect() == expected
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_batch_equals_single_searches(spark, corpus, index, docs, small, monkeypatch):
-    monkeypatch.setattr(s, "is_small", lambda df, max_rows=0: small)
+    monkeypatch.setattr(s, "can_broadcast", lambda df: small)
     texts = {1: "hot w1 w1", 2: "w5 w6 w7", 3: "", 4: "unseen", 5: "hot"}
     queries = spark.createDataFrame(list(texts.items()), "qid long, text string")
     rows = s.batch_topk(index, corpus, queries, 6).orderBy("qid", "rank").collect()
@@ -165,3 +165,27 @@ def test_hot_word_is_stored_in_its_own_folder(index):
     hot = index.postings.filter("term = 'hot'").select("bucket").distinct().collect()
     assert len(hot) == 1
     assert index.postings.filter("term = 'hot'").agg(F.sum("tf")).first()[0] == 20
+
+
+def test_hot_bucket_is_split(spark, corpus, tmp_path):
+    """What exceeds the advisory size goes to several tasks, each with its own sorted file."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2000b")
+    try:
+        index = build_index(corpus, str(tmp_path / "i"), buckets=1)
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "i" / "postings" / "bucket=0").glob("*.parquet"))) > 1
+    assert index.postings.filter("term = 'hot'").count() == 20
+
+
+def test_broadcast_is_measured(spark, monkeypatch):
+    from papyra.sources import sizes
+
+    df = spark.range(10).selectExpr("id", "repeat('x', 100) AS term")
+    assert sizes.can_broadcast(df)
+    monkeypatch.setattr(sizes, "BROADCAST_TEXT_BYTES", 999)
+    assert not sizes.can_broadcast(df)
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 9)
+    assert not sizes.can_broadcast(df.select("id"))
