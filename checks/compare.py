@@ -26,6 +26,11 @@ def difference(spark_result: DataFrame, connection, sql: str) -> str | None:
     columns = sorted(relation.columns)
     if columns != sorted(spark_result.columns):
         return f"columns {sorted(spark_result.columns)} and {columns}"
+    kinds = {"string": "VARCHAR", "int": "INTEGER"}
+    types = {c: kinds.get(kind, kind.upper()) for c, kind in spark_result.dtypes}
+    other_types = {c: str(kind) for c, kind in zip(relation.columns, relation.types)}
+    if types != other_types:
+        return f"types {types} and {other_types}"
     mine = sorted(map(repr, map(tuple, spark_result.select(*columns).collect())))
     theirs = sorted(map(repr, relation.select(*columns).fetchall()))
     if mine == theirs:
