@@ -149,13 +149,13 @@ def _step(previous: str) -> str:
     """One step of PageRank after the statement ``previous``; see ``_received``."""
     return f"""
         SELECT * EXCEPT (score),
-            {1 - DAMPING} / reached + {DAMPING} * sum(share) OVER all_units AS score
+            {1 - DAMPING}D / reached + {DAMPING}D * sum(share) OVER all_units AS score
         FROM (
             SELECT * EXCEPT (share),
                 idf * (
-                    gain * coalesce(sum(score * spread) OVER earlier, 0)
+                    gain * coalesce(sum(score * spread) OVER earlier, 0D)
                     + sum(gain * score * spread) OVER holders
-                    - coalesce(sum(gain * score * spread) OVER earlier, 0)
+                    - coalesce(sum(gain * score * spread) OVER earlier, 0D)
                     - gain * score * spread
                 ) AS share
             FROM ({previous})
