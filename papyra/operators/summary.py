@@ -21,9 +21,9 @@ from papyra.functions.text import (
 )
 
 DAMPING = 0.85
-# Starting from the strengths of the sentences, which is close to the end result already, the
-# scores differ from it by less than 1 % of what they would if started evenly.
-STEPS = 15
+# The scores start from the strengths of the sentences. What is left of the starting error
+# after the last step is at most DAMPING ** STEPS, 4 %, and far less in well linked texts.
+STEPS = 20
 # Scores are ranked to this many decimals, so that noise does not break ties.
 RANK_DECIMALS = 9
 
@@ -185,11 +185,14 @@ def _ranks(unit_table: DataFrame, steps: int) -> DataFrame:
         F.when(linked, 1 / F.col("strength")).otherwise(0.0).alias("spread"),
         F.when(linked, F.col("strength") / F.col("all_strength")).otherwise(0.0).alias("score"),
     )
-    # One statement for all steps: step by step, the growing plan would be analysed each time.
-    statement = "SELECT *, 0D AS share FROM {start}"
-    for _ in range(steps):
-        statement = _step(statement)
-    rows = unit_table.sparkSession.sql(statement, start=rows)
+    # Five steps to a statement: one by one, the growing plan would be analysed each time, and
+    # much deeper statements than this exceed the analyser's limit.
+    rows = rows.withColumn("share", F.lit(0.0))
+    for done in range(0, steps, 5):
+        statement = "SELECT * FROM {start}"
+        for _ in range(min(5, steps - done)):
+            statement = _step(statement)
+        rows = unit_table.sparkSession.sql(statement, start=rows)
     # Copies of a node have its score; nodes without links have none.
     reachable = F.max("spread").over(_node()) > 0
     rows = rows.withColumn("score", F.when(reachable, F.col("score")).otherwise(0.0))
