@@ -141,7 +141,7 @@ def _rest(given: DataFrame, reps: DataFrame, buckets: DataFrame, label: DataFram
     )
     placed = stored(placed, "placed")
     several = placed.groupBy("bucket").agg(
-        F.count_if("outside").alias("queries"), F.count("*").alias("mates"),
+        F.count_if(F.col("outside")).alias("queries"), F.count("*").alias("mates"),
         F.ceil(F.sum("n") / BLOCK_ELEMENTS).cast("int").alias("chunks"),
     ).where("queries > 0 and mates > 2").select("bucket", "chunks")
     placed = placed.join(several, "bucket").where("not leads").withColumn(

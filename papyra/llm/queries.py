@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.llm.decontaminate import decontaminate
 from papyra.llm.neardup import near_duplicates
+from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
+from papyra.llm.quality_rules import quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -25,8 +33,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
