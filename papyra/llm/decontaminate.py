@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,15 +107,18 @@ def _windows(tokens: Column, sizes: list[int], first_run: Column) -> Column:
     parts = [F.when(first_run, marker).otherwise(F.array().cast(kind))]
     for size in sizes:
         count = F.least(F.size(tokens) - (size - 1), F.lit(RUN))
-        starts = F.sequence(F.lit(0), count - 1)
-        made = F.transform(starts, lambda start, size=size: F.struct(
-            start.alias("start"), F.lit(size).alias("size"),
-            F.array_join(F.slice(tokens, start + 1, F.lit(size)), " ").alias("window"),
-        ))
+        made = F.transform(F.sequence(F.lit(0), count - 1), _window(tokens, size))
         parts.append(F.when(count > 0, made).otherwise(F.array().cast(kind)))
     return F.concat(*parts)
 
 
+def _window(tokens: Column, size: int) -> Callable[[Column], Column]:
+    return lambda start: F.struct(
+        start.alias("start"), F.lit(size).alias("size"),
+        F.array_join(F.slice(tokens, start + 1, F.lit(size)), " ").alias("window"),
+    )
+
+
 def _joined(hits: Column) -> Column:
     """Sorted ``(start, size)`` hits as disjoint ``(first, last)`` runs of words."""
     kind = "array<struct<first:int,last:int>>"

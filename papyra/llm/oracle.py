@@ -56,7 +56,7 @@ with words as (
     count(*) filter (not good) as m, count(*) filter (not good and value > cutoff) as b
   from held join grid using (rule) group by all
 ), tested as (
-  select *, case when k >= n * 0.02 then 1.0 else list_sum(list_transform(range(0, k + 1), i ->
+  select *, case when k >= n * 0.02 then 1.0 else list_sum(list_transform(range(0, k + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98)))) end as p,
     0.05 / (5 * (select count(distinct stratum) from held)) as level
   from tried
