@@ -110,4 +110,70 @@ select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bi
 from docs left join hit_words using (r) left join hit_items using (r)
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op5_benchmark_decontamination": OP5}
+_SPANS = r"""
+  select r, '{kind}' as kind, {order} as k, unnest(list_transform(range(1, len(whole) + 1), lambda i:
+      {{'start': list_sum(list_transform(gap[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(whole[1:i - 1], lambda g: length(g))), 0),
+        'size': length(whole[i]), 'value': value[i]}}), recursive := true)
+  from (select r, regexp_split_to_array(text, '{pattern}') as gap,
+          regexp_extract_all(text, '{pattern}') as whole,
+          regexp_extract_all(text, '{pattern}', {group}) as value
+        from docs where regexp_matches(text, '{pattern}'))
+"""
+
+_ASSIGN = (
+    "((?i:password|passwd|secret|token|api_?key))[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+
+_KNOWN = (
+    "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{20,}"
+    "|eyJ[A-Za-z0-9_-]{10,}[.]eyJ[A-Za-z0-9_-]{10,}[.][A-Za-z0-9_-]{10,}"
+)
+
+OP9 = (
+    """
+with docs as (
+  select row_number() over () as r, doc_id, coalesce(source, '') as source, coalesce(text, '') as text
+  from documents
+), spans as (
+"""
+    + " union all ".join(
+        _SPANS.format(kind=kind, order=order, pattern=pattern, group=group)
+        for order, (kind, pattern, group) in enumerate([
+            ("assign", _ASSIGN, 2), ("access", "AKIA[A-Z0-9]+", 0), ("hex", "[0-9a-f]+", 0),
+            ("known", _KNOWN, 0), ("mixed", "[A-Za-z0-9+/_-]{24,}", 0),
+        ])
+    )
+    + """
+), found as (
+  select r, kind, k, cast(start as bigint) as start, cast(start + size as bigint) as stop, value from spans
+  where length(value) >= case kind when 'assign' then 12 when 'access' then 18 when 'hex' then 16 else 24 end
+    and (kind <> 'mixed' or regexp_matches(value, '[0-9]') and regexp_matches(value, '[a-z]')
+      and regexp_matches(value, '[A-Z]'))
+), sure as (
+  select * from found a where k < 3 or k = 3 and not exists (
+    select 1 from found b where b.r = a.r and b.k < 3 and a.start < b.stop and b.start < a.stop)
+), candidates as (
+  from sure union all select * from found a where k = 4 and not exists (
+    select 1 from sure b where b.r = a.r and a.start < b.stop and b.start < a.stop)
+), owners as (
+  select value, count(distinct source) as n from candidates join docs using (r) group by value
+), judged as (
+  select c.*, n < 3 and regexp_matches(value, '[0-9]')
+    and len(list_distinct(regexp_extract_all(value, '.'))) >= 6 as live
+  from candidates c join owners using (value)
+), listed as (
+  select r, string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) as spans,
+    string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) filter (k < 3) as names,
+    count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    count(*) filter (kind = 'hex') as n_hex, count(*) filter (live) as n_live
+  from judged where live or k < 4 group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+  coalesce(n_hex, 0) as n_hex, sha256(coalesce(names, '')) as base_sha256,
+  coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live
+from docs left join listed using (r)
+"""
+)
+
+ORACLE = {"op1_quality_rules": OP1, "op5_benchmark_decontamination": OP5, "op9_secret_scans": OP9}

@@ -10,6 +10,7 @@ from papyra.llm.neardup import near_duplicates
 from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
+from papyra.llm.secrets import BASE_KINDS, scan, span_names
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +42,27 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    count = {kind: F.size(F.filter(spans, _is(kind))).cast("long") for kind in BASE_KINDS}
+    return scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", *[n.alias(f"n_{kind}") for kind, n in count.items()],
+        F.sha2(span_names(spans, list(BASE_KINDS)), 256).alias("base_sha256"),
+        span_names(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["live"])).cast("long").alias("n_live"),
+    )
+
+
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op9_secret_scans": op9_secret_scans,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
