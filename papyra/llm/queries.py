@@ -11,6 +11,7 @@ from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import BASE_KINDS, scan, span_names
+from papyra.llm.toxicity import score, train
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,12 +58,18 @@ def _is(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op9_secret_scans": op9_secret_scans,
+    "op10_toxicity": op10_toxicity,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
