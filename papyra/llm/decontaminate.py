@@ -140,7 +140,7 @@ def _joined(hits: Column) -> Column:
 
 def remove_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the contaminated ones, all columns kept; rows without an id stay."""
-    ids = found.where("contaminated").select(id_col).distinct()
+    ids = stored(found.where("contaminated").select(id_col).distinct(), "contaminated")
     if can_broadcast(ids):
         ids = F.broadcast(ids)
     return docs.join(ids, id_col, "left_anti")
