@@ -1,18 +1,48 @@
-"""Training-corpus pipeline: each stage is written as Parquet and read again by the next."""
+"""Training-corpus pipeline: each stage is written as Parquet and read again by the next.
+
+The stages keep every column of ``documents`` but the last, which gives packed pieces. Documents
+with a null id cannot be named by a verdict and stay; rows that repeat an id share its fate.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from papyra.llm.decontaminate import decontaminate, remove_contaminated
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.packing import pack
+from papyra.llm.quality_rules import quality_rules
+from papyra.llm.secrets import redact, scan
 from papyra.llm.stored import stored
+from papyra.sources.sizes import can_broadcast
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``ids``, which are broadcast if measured to be few."""
+    ids = stored(ids.select("doc_id").distinct(), "rejected")
+    return docs.join(F.broadcast(ids) if can_broadcast(ids) else ids, "doc_id", "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _without(docs, quality_rules(docs, labels).where("not kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the least id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").dropDuplicates(["doc_id"])
-    return docs.join(kept, "doc_id", "left_semi")
+    return _without(docs, near_duplicates(docs).where("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    return remove_contaminated(docs, decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by marks in the texts; all documents stay."""
+    return redact(docs, scan(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +50,11 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", packing)]
+STAGES = [
+    ("quality_rules", quality), ("near_dedup", near_dedup), ("decontamination", decontamination),
+    ("secret_scans", secrets), ("packing", packing),
+]
+# Near-duplicate links and packing have no SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
