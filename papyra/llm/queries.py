@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.llm.decontaminate import decontaminate
+from papyra.llm.html_text import extract_text
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
@@ -43,6 +44,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     count = {kind: F.size(F.filter(spans, _is(kind))).cast("long") for kind in BASE_KINDS}
@@ -68,6 +74,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_html_extraction": op6_html_extraction,
     "op9_secret_scans": op9_secret_scans,
     "op10_toxicity": op10_toxicity,
 }
