@@ -1,5 +1,7 @@
 """SQL for DuckDB that gives the rows of the registered queries by other, plainer ways."""
 
+from papyra.llm.licences import TEMPLATES
+
 OP1 = r"""
 with words as (
   select row_number() over () as r, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text,
@@ -176,4 +178,41 @@ from docs left join listed using (r)
 """
 )
 
-ORACLE = {"op1_quality_rules": OP1, "op5_benchmark_decontamination": OP5, "op9_secret_scans": OP9}
+def op2(templates: dict[str, str]) -> str:
+    """Every window of every text against every template, by counting shared shingles."""
+    rows = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in templates.items())
+    words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')"
+    return f"""
+with docs as (select row_number() over () as r, doc_id, {words} as ws from documents
+), templates as (select licence, {words} as ws from (values {rows}) as t(licence, text)
+), parts as (
+  select distinct licence, cast(greatest(8, pow(2, ceil(log2(len(ws))))) as bigint) as scale,
+    unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) as part
+  from templates
+), sizes as (select licence, scale, count(*) as n from parts group by all
+), held as (
+  select r, unnest(range(len(ws) - 4)) as pos,
+    unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) as part
+  from docs where len(ws) > 4
+), hits as (
+  select r, licence, scale, part, pos, unnest(range(cast(pos - pos % (scale // 2) as bigint), -1, -(scale // 2))) as first
+  from held join parts using (part)
+), found as (
+  select r, licence, max(share) as share from (
+    select r, licence, first, count(distinct part) * 100 // any_value(n) as share,
+      count(distinct part) * 100 >= 75 * any_value(n) as enough
+    from hits join sizes using (licence, scale)
+    where pos + 5 <= first + scale * 3 // 2 group by r, licence, first
+  ) where enough group by r, licence
+), listed as (
+  select r, count(*) as n_licences, string_agg(licence, ',' order by licence) as licences,
+    cast(max(share) as bigint) as percent
+  from found group by r
+)
+select doc_id, coalesce(n_licences, 0) as n_licences, coalesce(licences, '') as licences,
+  coalesce(percent, 0) as percent
+from docs left join listed using (r)
+"""
+
+
+ORACLE = {"op1_quality_rules": OP1, "op2_license_scans": op2(TEMPLATES), "op5_benchmark_decontamination": OP5, "op9_secret_scans": OP9}

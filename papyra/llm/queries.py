@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyra.llm.decontaminate import decontaminate
 from papyra.llm.html_text import extract_text
+from papyra.llm import licences
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
@@ -24,6 +25,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the licences found, sorted, and the largest share of a template found."""
+    found = licences.scan(_table(spark, sf_dir, "documents"), licences.template_table(spark))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["licence"])))
+    return found.select(
+        "doc_id", F.size(names).cast("long").alias("n_licences"), F.array_join(names, ",").alias("licences"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["percent"])), F.lit(0)).cast("long").alias("percent"),
+    )
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scans": op2_license_scans,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
