@@ -13,6 +13,7 @@ from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import BASE_KINDS, scan, span_names
+from papyra.llm.token_counts import token_counts
 from papyra.llm.toxicity import score, train
 
 
@@ -60,6 +61,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     count = {kind: F.size(F.filter(spans, _is(kind))).cast("long") for kind in BASE_KINDS}
@@ -87,6 +93,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_html_extraction": op6_html_extraction,
+    "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_toxicity": op10_toxicity,
 }
