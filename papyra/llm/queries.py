@@ -11,6 +11,7 @@ from papyra.llm import licences
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
+from papyra.llm.quality_classifier import classify
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import BASE_KINDS, scan, span_names
 from papyra.llm.token_counts import token_counts
@@ -61,6 +62,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source stands for its host, its language there for the path."""
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts(_table(spark, sf_dir, "documents"))
@@ -93,6 +99,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_html_extraction": op6_html_extraction,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_toxicity": op10_toxicity,
