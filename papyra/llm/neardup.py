@@ -24,7 +24,8 @@ MARGIN = 4.0
 LEAST_ESTIMATE = THRESHOLD_PERCENT / 100 - MARGIN * math.sqrt(0.75 * 0.25 / REGISTERS)
 # Shingles in a block of bucket mates that are compared with each other in one task.
 BLOCK_ELEMENTS = 300_000
-_NOTE = "id long, key_a long, key_b long, n long, registers binary"
+# Ids go through pandas as text, since it keeps no integers beside nulls.
+_NOTE = "id string, key_a long, key_b long, n long, registers binary"
 _KEYS = random_words(2, 11)
 
 
@@ -77,7 +78,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stay or go together, and their texts should be equal.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    notes = stored(given.mapInPandas(_sketches, _NOTE), "sketches")
+    named_texts = given.withColumn("id", F.col("id").cast("string"))
+    sketches = named_texts.mapInPandas(_sketches, _NOTE).withColumn("id", F.col("id").cast("long"))
+    notes = stored(sketches, "sketches")
     named = notes.where("n > 0 and id is not null")
     classes = stored(named.groupBy("key_a", "key_b").agg(F.min("id").alias("rep")), "classes")
     reps = stored(

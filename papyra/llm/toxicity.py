@@ -194,8 +194,10 @@ def score(
                 found = machine.scores(*hashed_terms(raw, wanted=wanted))
                 yield pd.DataFrame({"id": ids.iloc[first : first + len(raw)].to_numpy(), "score": found})
 
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInPandas(run, "id long, score double").select(
+    # Ids go through pandas as text, since it keeps no integers beside nulls.
+    given = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    scored = given.mapInPandas(run, "id string, score double").withColumn("id", F.col("id").cast("long"))
+    return scored.select(
         F.col("id").alias(id_col), F.coalesce(fold(F.col("id")) == _HELD_OUT, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
