@@ -4,7 +4,24 @@ from __future__ import annotations
 
 from checks import tables as t
 from papyra.functions import fixed_values as fixed
-from papyra.operators.summary import DAMPING, STEPS
+
+# PageRank: enough steps from equal scores for ten decimals, as each shrinks the error to 0.85.
+DAMPING, STEPS = 0.85, 150
+
+
+# Stated here once more, so that a wrong constant in the library shows.
+SPACES = (
+    "\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+REMOVED = "():,;.’”“?%><≥≤~`'"
+SEPARATOR = r"""[\s!@#$&\[\]{}"*«»‘„]+|--"""
+TOKEN = r"^(19|20)[0-9]{2}|^[a-z][\p{L}\p{N}_\-]*$"
+SENTENCE = r"(?:\S[^\n]+?[.!?](?:\s+|$))|(?:\S[^\n]+?(?:\n|$))"
+ABBREVIATIONS = (
+    r"([A-Z][a-z]{1,2}\.)\s([\p{L}\p{N}_])", r"(\.[a-zA-Z]\.)\s([\p{L}\p{N}_])",
+)
+K1, B, EPSILON = 1.5, 0.75, 0.25
 
 
 def quote(text: str) -> str:
@@ -20,16 +37,19 @@ def with_(*parts: str, select: str) -> str:
 
 
 def clean_text(text: str) -> str:
-    old = fixed.SPACE_CHARACTER + fixed.REMOVED_CHARACTERS
-    return f"translate(lower({text}), {quote(old)}, ' ')"
+    return f"translate(lower({text}), {quote('/' + SPACES + REMOVED)}, {quote(' ' * (1 + len(SPACES)))})"
+
+
+def plain_spaces(text: str) -> str:
+    return f"translate({text}, {quote(SPACES)}, {quote(' ' * len(SPACES))})"
 
 
 def tokens(text: str, stop_words=fixed.STOP_WORDS) -> str:
     words = ", ".join(quote(w) for w in sorted(set(stop_words)))
     return (
-        f"list_filter(string_split_regex({clean_text(text)}, {quote(fixed.TOKEN_SEPARATOR)}),"
-        f" lambda w: length(w) >= {fixed.MIN_TOKEN_LENGTH} and w not in ({words})"
-        f" and regexp_matches(w, {quote(fixed.TOKEN_PATTERN)}))"
+        f"list_filter(string_split_regex({clean_text(text)}, {quote(SEPARATOR)}),"
+        f" lambda w: length(w) >= 2 and w not in ({words})"
+        f" and regexp_matches(w, {quote(TOKEN)}))"
     )
 
 
@@ -47,14 +67,20 @@ def iso_date(date: str) -> str:
         else strftime(try_cast({date} as date), '%Y-%m-%d') end"""
 
 
+def widened(text: str) -> str:
+    for plain, wide in t.WIDE_SPACES:
+        text = f"replace({text}, {quote(plain)}, {quote(wide)})"
+    return text
+
+
 def sentence_list(text: str) -> str:
-    return f"regexp_extract_all({text}, {quote(fixed.SENTENCE_PATTERN)})"
+    return f"regexp_extract_all({plain_spaces(text)}, {quote(SENTENCE)})"
 
 
 def summary_sentence_list(text: str) -> str:
-    for before, after in (fixed.TITLE_ABBREVIATION, fixed.LETTER_ABBREVIATION):
-        pattern, joined = quote(before + r"\s" + after), r"'\1' || chr(1) || '\2'"
-        text = f"regexp_replace({text}, {pattern}, {joined}, 'g')"
+    text = plain_spaces(text)
+    for abbreviation in ABBREVIATIONS:
+        text = f"regexp_replace({text}, {quote(abbreviation)}, '\\1' || chr(1) || '\\2', 'g')"
     return (
         f"list_transform({sentence_list(text)},"
         r" lambda s: replace(regexp_replace(s, '\s+$', ''), chr(1), ' '))"
@@ -72,13 +98,28 @@ PAPERS = """papers as (select doc_id,
         as publish_time,
     cast(null as varchar) as authors, 'http://x/' || doc_id as url
   from documents)"""
-DATED = """dated as (select doc_id,
-    case when doc_id % 7 = 0 then null when doc_id % 5 = 0 then '2023'
-        when doc_id % 19 = 0 then 'spring ' || doc_id when doc_id % 23 = 0 then '2022-03'
-        else strftime(date '2020-01-01' + cast(doc_id % 1500 as int), '%Y-%m-%d') end
-        as publish_time
-  from documents)"""
+DATED = """dated as (select o_orderkey as doc_id,
+    case when o_orderkey % 7 = 0 then null when o_orderkey % 5 = 0 then strftime(o_orderdate + interval 22 years, '%Y')
+        when o_orderkey % 19 = 0 then 'spring ' || o_orderkey
+        when o_orderkey % 23 = 0 then strftime(o_orderdate + interval 22 years, '%Y-%m')
+        else strftime(o_orderdate + interval 22 years, '%Y-%m-%d') end as publish_time
+  from orders)"""
 ISO_DATED = f"iso_dated as (select doc_id, {iso_date('publish_time')} as publish_time from dated)"
+# Papers without ids, each told apart by a hash of its row.
+NAMELESS = """papers as (select *, substr(sha256(
+    concat_ws(',', length(a), length(b), length(c), length(d), length(e), a, b, c, d, e)), 1, 30) as doc_id
+  from (select *, coalesce('=' || title, '-') as a, coalesce('=' || abstract, '-') as b,
+      coalesce('=' || publish_time, '-') as c, coalesce('=' || authors, '-') as d,
+      coalesce('=' || url, '-') as e
+    from (select distinct case when doc_id % 11 = 0 then null
+          else nullif(split_part(text, chr(10), 1), '') end as title,
+        case when doc_id % 13 = 0 then 'Unknown' when doc_id % 17 = 0 then null
+          else nullif(text, '') end as abstract,
+        case when doc_id % 7 = 0 then null when doc_id % 5 = 0 then '2020'
+          else strftime(date '2019-01-01' + cast(doc_id % 730 as int), '%Y-%m-%d') end
+          as publish_time,
+        cast(null as varchar) as authors, 'http://x/' || doc_id as url
+      from documents)))"""
 CLEAN_TITLE = f"""clean_title as (select * replace (
     case when length(coalesce(title, '')) < {fixed.SHORT_TITLE}
         and not regexp_matches(coalesce(title, ''), {quote(t.RELEVANT)})
@@ -104,6 +145,25 @@ PREPARED = (*CLEANED, DEDUP, f"""prepared as materialized (select doc_id,
     {IS_SARS} as sars_related, url
   from dedup)""")
 
+# As "prepared", with the library's default patterns: here stated once more.
+DEFAULTS = """
+  select doc_id, case when publish_time is null then '' when length(publish_time) = 4
+      then publish_time || '-01-01' else publish_time end as publish_time, title, abstract,
+    coalesce(publish_time > '2019-11-30' or publish_time is null or regexp_matches(abstract,
+      'covid|sars-?n?cov-?2|2019-ncov|novel coronavirus|sars coronavirus 2'), false) as covid_related,
+    coalesce(regexp_matches(abstract, 'virus|viruses|viral'), false) as virus_related,
+    coalesce(regexp_matches(abstract, 'corona'), false) as corona_related,
+    coalesce(not (publish_time > '2019-11-30' or publish_time is null or regexp_matches(abstract,
+      'covid|sars-?n?cov-?2|2019-ncov|novel coronavirus|sars coronavirus 2'))
+      and regexp_matches(abstract, 'sars'), false) as sars_related, url
+  from (select *, row_number() over (partition by abstract order by doc_id) as copy from (
+    select * replace (regexp_replace(coalesce(nullif(abstract, 'Unknown'), title),
+      '(Publisher|Abstract|Summary|BACKGROUND|INTRODUCTION)', '', 'g') as abstract) from (
+    select * replace (case when length(coalesce(title, '')) < 30 and not regexp_matches(coalesce(title, ''),
+      'vir|sars|mers|corona|ncov|immun|nosocomial.*epidem|emerg|vacc|cytokine')
+      then '' else coalesce(title, '') end as title) from papers)))
+  where copy = 1"""
+
 DOCUMENTS = ("""corpus as (select doc_id, text, split_part(text, chr(10), 1) as title
   from documents)""",)
 PREPARED_CORPUS = (*PREPARED, "corpus as (select *, abstract as text from prepared)")
@@ -125,14 +185,14 @@ def postings(stop_words) -> tuple[str, ...]:
         """stats as materialized (select n, avgdl,
             (select avg(raw_idf) from raw_terms) as mean_idf from counts)""",
         f"""terms as (select term, df, case when raw_idf < 0
-            then {fixed.BM25_EPSILON} * (select mean_idf from stats) else raw_idf end as idf
+            then {EPSILON} * (select mean_idf from stats) else raw_idf end as idf
             from raw_terms)""",
     )
 
 
 def scores(queries: str, stop_words) -> tuple[str, ...]:
     """``scores(qid, doc_id, score)`` of all documents for the queries selected."""
-    k1, b = fixed.BM25_K1, fixed.BM25_B
+    k1, b = K1, B
     return (
         *postings(stop_words),
         f"queries as ({queries})",
@@ -169,7 +229,7 @@ def top(k: int, where: str = "true") -> tuple[str, ...]:
 
 def summaries(source: str) -> tuple[str, ...]:
     """``summaries(doc_id, summary)`` for ``select doc_id, text``, over explicit pairs."""
-    k1, b, words = fixed.BM25_K1, fixed.BM25_B, fixed.SUMMARY_WORDS
+    k1, b, words = K1, B, 120
     first = (
         f"texts as materialized (select doc_id, text, {summary_sentence_list('text')} as parts,"
         f" len({sentence_list('text')}) as raw_sentences from ({source}))",
@@ -193,7 +253,7 @@ def summaries(source: str) -> tuple[str, ...]:
             from units join sizes using (doc_id) group by doc_id, term, times)""",
         "means as (select doc_id, avg(raw) as mean_raw from raw_units group by doc_id)",
         f"""weights as (select doc_id, term, times, case when raw < 0
-            then greatest({fixed.BM25_EPSILON} * mean_raw, 0) else raw end as idf
+            then greatest({EPSILON} * mean_raw, 0) else raw end as idf
             from raw_units join means using (doc_id) where df > 1)""",
         f"""gains as (select doc_id, node,
             ({k1} + 1) / (1 + {k1} * (1 - {b} + {b} * size / mean_size)) as gain
@@ -209,7 +269,7 @@ def summaries(source: str) -> tuple[str, ...]:
             from edges group by doc_id, i)""",
         """linked as materialized (select doc_id, count(*) as n, sum(strength) as total
             from strengths group by doc_id)""",
-        """step0 as materialized (select doc_id, node, strength, n, strength / total as rank
+        """step0 as materialized (select doc_id, node, strength, n, 1 / n as rank
             from strengths join linked using (doc_id))""",
     )
     steps = tuple(
@@ -226,7 +286,7 @@ def summaries(source: str) -> tuple[str, ...]:
         f"""ranked as (select s.doc_id, pos, shown, words,
             count(*) over (partition by s.doc_id) as sentences,
             row_number() over (partition by s.doc_id
-                order by round(coalesce(rank, 0), 9) desc, pos) as place
+                order by round(coalesce(rank * r.n, 0), 7) desc, pos) as place
             from sentences s
             left join step{STEPS} r on r.doc_id = s.doc_id and r.node = s.node
             left join linked l on l.doc_id = s.doc_id
@@ -267,9 +327,10 @@ def oracle() -> dict[str, str]:
     index = (*DOCUMENTS, *postings(short))
     return {
         "scan_papers": with_(PAPERS, select="""select cast(doc_id as varchar) as doc_id,
-            nullif(title, '') as title, publish_time, url from papers"""),
+            nullif(title, '') as title, nullif(abstract, '') as abstract, publish_time, url
+            from papers"""),
         "write_read_roundtrip": with_(PAPERS, select=ALL_PAPERS),
-        "multi_path_scan": with_(PAPERS, select="select doc_id, title, url from papers"),
+        "multi_path_scan": with_(PAPERS, select="select doc_id, title, abstract, url from papers"),
         "register_table": with_(PAPERS, select=ALL_PAPERS),
         "read_table_limit": with_(PAPERS, select=ALL_PAPERS + " order by doc_id limit 100"),
         "sample_papers": with_(PAPERS, select="""select doc_id, title from papers
@@ -278,14 +339,18 @@ def oracle() -> dict[str, str]:
         "project_columns": with_(
             PAPERS, select="select title, abstract, publish_time, authors, url from papers"
         ),
-        "result_columns": with_(PAPERS, select="select title, publish_time from papers"),
+        "result_columns": with_(
+            PAPERS, *summaries("select doc_id, abstract as text from papers where title is not null"),
+            select="""select title, summary, publish_time from papers join summaries using (doc_id)
+                where title is not null""",
+        ),
         "after_date": with_(
-            DATED, ISO_DATED, select="select * from iso_dated where publish_time >= '2021-06-15'"
+            DATED, ISO_DATED, select="select * from iso_dated where publish_time >= '2022-06-15'"
         ),
         "after_date_with_nulls": with_(DATED, ISO_DATED, select="""select * from iso_dated
-            where publish_time >= '2021-06-15' or publish_time is null"""),
-        "since_cutoff": with_(DATED, ISO_DATED, select=f"""select * from iso_dated
-            where publish_time >= '{fixed.RECENT_DATE}'"""),
+            where publish_time >= '2022-06-15' or publish_time is null"""),
+        "since_cutoff": with_(DATED, ISO_DATED, select="""select * from iso_dated
+            where publish_time >= '2022-01-01'"""),
         "drop_null_titles": with_(
             PAPERS, select="select doc_id, title from papers where title is not null"
         ),
@@ -312,6 +377,16 @@ def oracle() -> dict[str, str]:
         ),
         "format_date": with_(DATED, ISO_DATED, select="select * from iso_dated"),
         "prepared_papers": with_(*PREPARED, select="select * from prepared"),
+        "prepared_defaults": with_(PAPERS, select=DEFAULTS),
+        "prepare_without_ids": with_(
+            NAMELESS, CLEAN_TITLE, CLEAN_ABSTRACT, DEDUP, *PREPARED[-1:],
+            select="select * exclude (doc_id) from prepared",
+        ),
+        "unicode_spaces": f"""select doc_id, array_to_string({tokens('text')}, ' ') as tokens,
+            cast(len(regexp_extract_all({plain_spaces('text')}, '\\S+')) as bigint) as words,
+            cast(len({sentence_list('text')}) as bigint) as sentences,
+            array_to_string({summary_sentence_list('text')}, '|') as parts
+            from (select doc_id, {widened('text')} as text from documents)""",
         "clean_text": f"select doc_id, {clean_text('text')} as cleaned from documents",
         "tokenize_text": f"""select doc_id, cast(len(tokens) as bigint) as n_tokens,
             array_to_string(tokens, ' ') as tokens

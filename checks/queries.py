@@ -12,8 +12,9 @@ from papyra.functions import text as x
 from papyra.operators import bm25, clean, results, search, select, tag
 from papyra.operators.summary import summarize
 from papyra.plans.index import build_index
+from papyra.plans.job import JobArguments, prepare_files
 from papyra.plans.prepare import prepare_papers
-from papyra.sources.files import read_files, write_files
+from papyra.sources.files import read_files, write_by_id, write_files
 from papyra.sources.scratch import scratch_path
 from papyra.sources.tables import read_table, register_table
 
@@ -31,14 +32,15 @@ def query(function):
 @lru_cache(maxsize=None)
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "prepared")
-    write_files(prepare_papers(t.papers(spark, sf_dir), **t.PATTERNS), path)
+    write_by_id(prepare_papers(t.papers(spark, sf_dir), **t.PATTERNS), path)
     return spark.read.parquet(path)
 
 
 @lru_cache(maxsize=None)
 def prepared_index(spark: SparkSession, sf_dir: str) -> bm25.Bm25Index:
     return build_index(
-        prepared(spark, sf_dir), scratch_path(spark, "index"), buckets=BUCKETS
+        prepared(spark, sf_dir), scratch_path(spark, "index"), buckets=BUCKETS,
+        flags=("covid_related",),
     )
 
 
@@ -62,10 +64,15 @@ def documents(spark, sf_dir):
 
 @query
 def scan_papers(spark, sf_dir):
+    path = _csv(spark, sf_dir, ["doc_id", "title", "abstract", "publish_time", "url"])
+    return read_files(spark, path, "csv", multiLine=True, escape='"')
+
+
+def _csv(spark, sf_dir, columns):
+    """Papers as CSV; abstracts have line breaks, which are quoted."""
     path = scratch_path(spark, "csv")
-    columns = ["doc_id", "title", "publish_time", "url"]
-    t.papers(spark, sf_dir).select(*columns).write.option("header", True).csv(path)
-    return read_files(spark, path, "csv")
+    t.papers(spark, sf_dir).select(*columns).write.options(header=True, escape='"').csv(path)
+    return path
 
 
 @query
@@ -78,7 +85,7 @@ def write_read_roundtrip(spark, sf_dir):
 @query
 def multi_path_scan(spark, sf_dir):
     paths = []
-    papers = t.papers(spark, sf_dir).select("doc_id", "title", "url")
+    papers = t.papers(spark, sf_dir).select("doc_id", "title", "abstract", "url")
     for third in range(3):
         paths.append(scratch_path(spark, "papers"))
         write_files(papers.filter(F.col("doc_id") % 3 == third), paths[-1])
@@ -121,18 +128,18 @@ def project_columns(spark, sf_dir):
 
 @query
 def result_columns(spark, sf_dir):
-    return results.result_columns(t.papers(spark, sf_dir))
+    return results.result_columns(results.add_summaries(t.papers(spark, sf_dir)))
 
 
 @query
 def after_date(spark, sf_dir):
-    return select.after(t.dated_papers(spark, sf_dir).transform(clean.format_date), "2021-06-15")
+    return select.after(t.dated_papers(spark, sf_dir).transform(clean.format_date), "2022-06-15")
 
 
 @query
 def after_date_with_nulls(spark, sf_dir):
     dated = t.dated_papers(spark, sf_dir).transform(clean.format_date)
-    return select.after(dated, "2021-06-15", include_null_dates=True)
+    return select.after(dated, "2022-06-15", include_null_dates=True)
 
 
 @query
@@ -220,6 +227,20 @@ def prepared_papers(spark, sf_dir):
     return prepare_papers(t.papers(spark, sf_dir), **t.PATTERNS)
 
 
+@query
+def prepared_defaults(spark, sf_dir):
+    return prepare_papers(t.papers(spark, sf_dir))
+
+
+@query
+def prepare_without_ids(spark, sf_dir):
+    """The batch job's own function over CSV without ids, with quoted line breaks."""
+    columns = ["title", "abstract", "publish_time", "authors", "url"]
+    path = _csv(spark, sf_dir, columns)
+    args = JobArguments("", path, "csv", "", options=(("multiLine", "true"), ("escape", '"')))
+    return prepare_files(spark, args, **t.PATTERNS).drop("doc_id")
+
+
 # --- text functions ----------------------------------------------------------------------
 
 
@@ -262,6 +283,21 @@ def num_sentences(spark, sf_dir):
     return docs.select("doc_id", x.num_sentences("text").cast("bigint").alias("sentences"))
 
 
+@query
+def unicode_spaces(spark, sf_dir):
+    """Tokens, words and sentences of texts in which many spaces are not ASCII."""
+    text = F.col("text")
+    for plain, wide in t.WIDE_SPACES:
+        text = F.replace(text, F.lit(plain), F.lit(wide))
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return docs.select(
+        "doc_id", F.array_join(x.tokenize("text"), " ").alias("tokens"),
+        x.num_words("text").cast("bigint").alias("words"),
+        x.num_sentences("text").cast("bigint").alias("sentences"),
+        F.array_join(x.summary_sentences("text"), "|").alias("parts"),
+    )
+
+
 # --- BM25 index --------------------------------------------------------------------------
 
 

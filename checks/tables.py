@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.sources.sizes import spread_if_small
-
 RELEVANT = "the|ou"
 NOISE = "(Publisher|Abstract|Summary|BACKGROUND|INTRODUCTION|thion)"
 COVID_TERMS = ["ertion", "the-?n?re"]
@@ -19,13 +17,13 @@ PATTERNS = {
 }
 SHORT_STOP_LIST = ("and", "the", "is", "of", "to", "on")
 COMMON_QUERY = "are that for es are"
+# A plain character or run, and the same with white space beyond ASCII.
+WIDE_SPACES = (("e ", "e\u00a0"), ("s ", "s\u2009"), (". ", ".\u3000"), (", ", ",\u202f"))
 RARE_QUERY = "Erheed whou, ntwh/tionand!"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Small ones are single row groups, so their texts are dealt out."""
-    given = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_if_small(given) if name == "documents" else given
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +43,12 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, publish_time``: dates up to 2024, incomplete, missing and unreadable ones."""
-    doc_id = F.col("doc_id")
-    day = F.date_add(F.lit("2020-01-01").cast("date"), (doc_id % 1500).cast("int"))
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.when(doc_id % 7 == 0, None).when(doc_id % 5 == 0, "2023")
-        .when(doc_id % 19 == 0, F.concat(F.lit("spring "), doc_id.cast("string")))
-        .when(doc_id % 23 == 0, "2022-03")
-        .otherwise(F.date_format(day, "yyyy-MM-dd")).alias("publish_time"),
+    """``doc_id, publish_time``: dates of orders, 22 years on; some incomplete, missing, unreadable."""
+    key = F.col("o_orderkey")
+    day = F.date_format(F.add_months("o_orderdate", 22 * 12), "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("doc_id"),
+        F.when(key % 7 == 0, None).when(key % 5 == 0, F.substring(day, 1, 4))
+        .when(key % 19 == 0, F.concat(F.lit("spring "), key.cast("string")))
+        .when(key % 23 == 0, F.substring(day, 1, 7)).otherwise(day).alias("publish_time"),
     )

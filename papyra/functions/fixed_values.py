@@ -32,6 +32,13 @@ NULL_FILLED = ("authors", "doi", "journal", "abstract")
 REMOVED_CHARACTERS = "():,;.’”“?%><≥≤~`'"
 SPACE_CHARACTER = "/"
 
+# White space beyond ASCII (and the ASCII separators that regular expressions do
+# not count), which parts words and sentences like a plain space.
+UNICODE_SPACES = (
+    "\x0b\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Between two tokens stands white space, a quote, a bracket, one of ! @ # $ & *
 # or a double dash. Nothing is repeated around the "|": on a long run of separators, that would
 # overflow the stack. The empty words between separators are too short to be tokens.
@@ -44,9 +51,10 @@ MIN_TOKEN_LENGTH = 2
 
 # A sentence runs to a . ! or ? before white space, else to the end of its line.
 SENTENCE_PATTERN = r"(?:\S[^\n]+?[.!?](?:\s+|$))|(?:\S[^\n]+?(?:\n|$))"
-# Abbreviations ("Dr. No", "e.g. a") after which no sentence ends.
-TITLE_ABBREVIATION = (r"([A-Z][a-z]{1,2}\.)", r"([\p{L}\p{N}_])")
-LETTER_ABBREVIATION = (r"(\.[a-zA-Z]\.)", r"([\p{L}\p{N}_])")
+# Abbreviations ("Dr. No", "e.g. a") after which no sentence ends. These and the
+# sentence pattern are those of a public summariser, whose results they must match.
+TITLE_ABBREVIATION = r"([A-Z][a-z]{1,2}\.)\s([\p{L}\p{N}_])"
+LETTER_ABBREVIATION = r"(\.[a-zA-Z]\.)\s([\p{L}\p{N}_])"
 
 # BM25 parameters.
 BM25_K1 = 1.5

@@ -27,12 +27,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def clean_text(text: Column | str) -> Column:
-    """Lower-case, without punctuation; a slash becomes a space."""
+    """Lower-case, without punctuation; a slash and any white space beyond ASCII become a space."""
+    to_space = fixed.SPACE_CHARACTER + fixed.UNICODE_SPACES
     return F.translate(
-        F.lower(as_column(text)), fixed.SPACE_CHARACTER + fixed.REMOVED_CHARACTERS, " "
+        F.lower(as_column(text)), to_space + fixed.REMOVED_CHARACTERS, " " * len(to_space)
     )
 
 
+def plain_spaces(text: Column | str) -> Column:
+    """White space beyond ASCII as plain spaces; few texts have any, and only they are rewritten."""
+    text, spaces = as_column(text), fixed.UNICODE_SPACES
+    return F.when(text.rlike(f"[{spaces}]"), F.translate(text, spaces, " " * len(spaces))).otherwise(text)
+
+
 def tokenize(
     text: Column | str,
     stop_words: Iterable[str] = fixed.STOP_WORDS,
@@ -96,7 +103,7 @@ def doi_url(doi: Column | str) -> Column:
 
 def sentences(text: Column | str) -> Column:
     """Array of the sentences of ``text``; null text has none."""
-    found = F.regexp_extract_all(as_column(text), F.lit(fixed.SENTENCE_PATTERN), F.lit(0))
+    found = F.regexp_extract_all(plain_spaces(text), F.lit(fixed.SENTENCE_PATTERN), F.lit(0))
     found = F.transform(found, lambda s: F.regexp_replace(s, r"\s+$", ""))
     return F.coalesce(found, F.array().cast("array<string>"))
 
@@ -104,22 +111,21 @@ def sentences(text: Column | str) -> Column:
 def num_sentences(text: Column | str) -> Column:
     """Number of sentences; 0 for null or empty text."""
     return F.coalesce(
-        F.regexp_count(as_column(text), F.lit(fixed.SENTENCE_PATTERN)), F.lit(0)
+        F.regexp_count(plain_spaces(text), F.lit(fixed.SENTENCE_PATTERN)), F.lit(0)
     )
 
 
 def summary_sentences(text: Column | str) -> Column:
     """As ``sentences``, but none ends after an abbreviation such as ``Dr.`` or ``e.g.``."""
-    text = as_column(text)
-    abbreviations = (fixed.TITLE_ABBREVIATION, fixed.LETTER_ABBREVIATION)
-    for before, after in abbreviations:
-        text = F.regexp_replace(text, before + r"\s" + after, f"$1{_JOINER}$2")
+    text = plain_spaces(text)
+    for abbreviation in (fixed.TITLE_ABBREVIATION, fixed.LETTER_ABBREVIATION):
+        text = F.regexp_replace(text, abbreviation, f"$1{_JOINER}$2")
     return F.transform(sentences(text), lambda s: F.translate(s, _JOINER, " "))
 
 
 def num_words(text: Column | str) -> Column:
     """Number of words between white space."""
-    return F.regexp_count(as_column(text), F.lit(r"\S+"))
+    return F.regexp_count(plain_spaces(text), F.lit(r"\S+"))
 
 
 def normalize_date(date: Column | str) -> Column:

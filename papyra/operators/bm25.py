@@ -1,6 +1,7 @@
 """BM25 (Okapi) as tables.
 
-``postings(bucket, term, doc_id, tf, dl)`` has a row per term and document, ``terms(bucket,
+``documents(doc_id, dl, terms)`` has a row per document, ``postings(bucket, term, doc_id, tf, dl)``
+a row per term and document, ``terms(bucket,
 term, df, cf, raw_idf)`` a row per term, and ``stats(n, avgdl, mean_idf)`` one row.
 ``bucket`` is a hash of the term: tables are stored by it, so that a search reads only the
 folders of its own terms.
@@ -23,10 +24,12 @@ BUCKETS = 64
 @dataclasses.dataclass(frozen=True)
 class Bm25Index:
     postings: DataFrame
+    documents: DataFrame
     terms: DataFrame
     stats: DataFrame
     buckets: int
     stop_words: tuple[str, ...]
+    flags: tuple[str, ...] = ()
 
 
 def term_bucket(term: Column | str, buckets: int = BUCKETS) -> Column:
@@ -43,26 +46,47 @@ def index_tokens(
     return corpus.withColumn("index_tokens", tokenize(text_column, stop_words))
 
 
-def bm25_postings(
+def bm25_documents(
     corpus: DataFrame,
     text_column: str = "abstract",
     id_column: str = "doc_id",
     stop_words: Iterable[str] = fixed.STOP_WORDS,
-    buckets: int = BUCKETS,
+    flags: Iterable[str] = (),
 ) -> DataFrame:
-    """A row per term and document. Needs no shuffle: terms are counted inside the row."""
+    """``(doc_id, dl, terms, flags)``: a row per document, its terms counted inside the row."""
     tokens = corpus.select(
-        F.col(id_column).alias("doc_id"), tokenize(text_column, stop_words).alias("tokens")
+        F.col(id_column).alias("doc_id"), *flags, tokenize(text_column, stop_words).alias("tokens")
     )
-    counted = tokens.select(
-        "doc_id", F.size("tokens").alias("dl"), F.inline(term_counts("tokens"))
+    return tokens.select(
+        "doc_id", F.size("tokens").alias("dl"),
+        F.transform(term_counts("tokens"), lambda t: F.struct(
+            t["term"].alias("term"), t["tf"].cast("bigint").alias("tf")
+        )).alias("terms"),
+        *flags,
     )
-    return counted.select(
-        term_bucket("term", buckets).alias("bucket"),
-        "term", "doc_id", F.col("tf").cast("bigint").alias("tf"), "dl",
+
+
+def document_postings(
+    documents: DataFrame, buckets: int = BUCKETS, flags: Iterable[str] = ()
+) -> DataFrame:
+    """A row per term and document, from a row per document. Needs no shuffle."""
+    rows = documents.select("doc_id", "dl", *flags, F.inline("terms"))
+    return rows.select(
+        term_bucket("term", buckets).alias("bucket"), "term", "doc_id", "tf", "dl", *flags
     )
 
 
+def bm25_postings(
+    corpus: DataFrame,
+    text_column: str = "abstract",
+    id_column: str = "doc_id",
+    stop_words: Iterable[str] = fixed.STOP_WORDS,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """A row per term and document of a text column."""
+    return document_postings(bm25_documents(corpus, text_column, id_column, stop_words), buckets)
+
+
 def bm25_terms(postings: DataFrame, num_docs: int | Column) -> DataFrame:
     """A row per term: documents, occurrences and the logarithmic weight before its floor."""
     n = F.lit(num_docs)

@@ -25,10 +25,15 @@ def add_doc_id(df: DataFrame, name: str = "doc_id", key: str | None = None) -> D
         for c in df.columns
     ]
     lengths = [F.length(f).cast("string") for f in fields]
-    # The lengths keep ("ab", "c") and ("a", "bc") apart. The hash is never null; once Spark
+    # The lengths keep ("ab", "c") and ("a", "bc") apart. The id is a number, 120 bits of the hash
+    # in two halves, so that minima over it are hash-aggregated. It is never null; once Spark
     # knows, joins on it need no null filter, which would work the hash out a second time.
     digest = F.sha2(F.concat_ws(",", *lengths, *fields), 256)
-    return df.distinct().withColumn(name, F.coalesce(digest, F.lit("")))
+    high, low = (
+        F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(19,0)") for start in (1, 16)
+    )
+    number = (high * F.lit(1 << 60).cast("decimal(19,0)") + low).cast("decimal(38,0)")
+    return df.distinct().withColumn(name, F.coalesce(number, F.lit(0).cast("decimal(38,0)")))
 
 
 def clean_title(df: DataFrame, relevant: str | None = None) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +16,8 @@ from papyra.operators.bm25 import Bm25Index, bm25_idf, term_bucket, term_score
 from papyra.sources.scratch import scratch_path
 from papyra.sources.sizes import can_broadcast
 
-# Up to this many hits are looked up by a list of ids that is pushed to the scan.
-LOOKUP_ROWS = 1_000
+# So many ids at most are pushed to a scan; the join after it is the same for any number.
+PUSHED_IDS = 1_000
 # Sums of doubles depend on the order of addition. Scores are ranked to this many decimals, so
 # that equal ones stay equal and the tie goes to the lower id.
 RANK_DECIMALS = 9
@@ -27,26 +30,20 @@ def query_terms(queries: DataFrame, index: Bm25Index) -> DataFrame:
     return counted.withColumn("bucket", term_bucket("term", index.buckets))
 
 
-def _parts(
-    index: Bm25Index, terms: DataFrame, postings: DataFrame, wanted: DataFrame, small: bool
-) -> DataFrame:
-    """``(qid, doc_id, part)``: what each query term adds to the score of each document."""
-    wanted = F.broadcast(wanted) if small else wanted
-    weights = bm25_idf(terms, index.stats).join(wanted, ["bucket", "term"]).select(
+def query_weights(index: Bm25Index, wanted: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(qid, bucket, term, weight)`` of the query terms that the index holds."""
+    wanted = F.broadcast(wanted) if can_broadcast(wanted) else wanted
+    return bm25_idf(terms, index.stats).join(wanted, ["bucket", "term"]).select(
         "qid", "bucket", "term", (F.col("idf") * F.col("repeats")).alias("weight")
     )
-    # Terms are unique in the index, so there are no more weights than wanted rows.
-    weights = F.broadcast(weights) if small else weights
-    avgdl = index.stats.select("avgdl").scalar()
-    part = term_score(F.col("weight"), F.col("tf"), F.col("dl"), avgdl)
-    return postings.join(weights, ["bucket", "term"]).select("qid", "doc_id", part.alias("part"))
 
 
-def score_parts(index: Bm25Index, query_text: str) -> DataFrame:
-    """``(qid, doc_id, part)`` for one query, whose terms are known before planning.
+def score_parts(index: Bm25Index, query_text: str, flag: str | None = None) -> DataFrame:
+    """``(doc_id, part)``: what each word of a query adds to the score of each document.
 
-    They go into the filters of both index tables: the bucket picks the folders and the term
-    the row groups, which are sorted by it.
+    The words are known before planning and go into the filters of both index tables: the bucket
+    picks the folders and the term the files and row groups, which lie in the order of terms. A
+    ``flag`` kept in the index is a filter as well.
     """
     spark = index.stats.sparkSession
     query = spark.range(1).select(F.lit(0).alias("qid"), F.lit(query_text).alias("text"))
@@ -56,71 +53,30 @@ def score_parts(index: Bm25Index, query_text: str) -> DataFrame:
         sorted(r["term"] for r in rows)
     )
     wanted = spark.createDataFrame(rows, wanted.schema)
-    return _parts(index, index.terms.filter(among), index.postings.filter(among), wanted, True)
-
-
-def batch_score_parts(index: Bm25Index, queries: DataFrame) -> DataFrame:
-    """``(qid, doc_id, part)`` for a table of queries.
-
-    A small set of query terms is broadcast, so the postings stay where they are. A larger one
-    is joined by shuffle, where adaptive execution splits the terms found in most documents.
-    """
-    wanted = query_terms(queries, index)
-    small = can_broadcast(wanted)
-    return _parts(index, index.terms, index.postings, wanted, small)
+    weights = F.broadcast(query_weights(index, wanted, index.terms.filter(among)))
+    postings = index.postings.filter(among)
+    if flag is not None:
+        postings = postings.filter(F.col(flag))
+    avgdl = index.stats.select("avgdl").scalar()
+    part = term_score(F.col("weight"), F.col("tf"), F.col("dl"), avgdl)
+    return postings.join(weights, ["bucket", "term"]).select("doc_id", part.alias("part"))
 
 
 def _scores(parts: DataFrame) -> DataFrame:
     score = F.round(F.sum("part"), RANK_DECIMALS)
-    return parts.groupBy("qid", "doc_id").agg(score.alias("score"))
+    return parts.groupBy("doc_id").agg(score.alias("score"))
 
 
 def bm25_scores(index: Bm25Index, corpus: DataFrame, query_text: str) -> DataFrame:
     """``(doc_id, score)`` of every document, zeros included."""
-    zeros = corpus.select(F.lit(0).alias("qid"), "doc_id", F.lit(0.0).alias("part"))
-    return _scores(score_parts(index, query_text).unionByName(zeros)).drop("qid")
+    zeros = corpus.select("doc_id", F.lit(0.0).alias("part"))
+    return _scores(score_parts(index, query_text).unionByName(zeros))
 
 
 def best_first() -> list[Column]:
     return [F.col("score").desc(), F.col("doc_id").asc()]
 
 
-def _eligible(
-    parts: DataFrame, corpus: DataFrame, flag: str | None
-) -> tuple[DataFrame, DataFrame]:
-    """The parts and the ids of the documents that may be listed."""
-    if flag is None:
-        return parts, corpus.select("doc_id")
-    ids = corpus.filter(F.col(flag)).select("doc_id")
-    return parts.join(ids, "doc_id", "left_semi"), ids
-
-
-def _lowest_ids(
-    index: Bm25Index, parts: DataFrame, ids: DataFrame, num_results: int
-) -> DataFrame:
-    """As many low ids as it takes to find all zero scores that belong to a top k.
-
-    With no negative term weight, documents outside the hits never beat a hit, and k ids are
-    enough. The mean weight is negative only where most words stand in more than half of all
-    documents; hits may then rank below zero, and as many ids are added as a query has hits.
-    """
-    size, mean_idf = num_results, index.stats.first()["mean_idf"]
-    if mean_idf is not None and mean_idf < 0:
-        hits = parts.select("qid", "doc_id").distinct().groupBy("qid").count()
-        size += hits.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    return ids.orderBy("doc_id").limit(size)
-
-
-def _topk(
-    index: Bm25Index, parts: DataFrame, ids: DataFrame, num_results: int
-) -> DataFrame:
-    zeros = _lowest_ids(index, parts, ids, num_results).select(
-        F.lit(0).alias("qid"), "doc_id", F.lit(0.0).alias("part")
-    )
-    ranked = _scores(parts.unionByName(zeros)).orderBy(*best_first())
-    return ranked.limit(num_results).drop("qid")
-
-
 def search_topk(
     index: Bm25Index,
     corpus: DataFrame,
@@ -130,12 +86,26 @@ def search_topk(
 ) -> DataFrame:
     """``(doc_id, score)`` of the best documents; ties go to the lower id.
 
-    There are ``num_results`` rows even when fewer documents match: the rest score zero. With
-    ``flag``, a boolean column of ``corpus``, only flagged documents are listed; term weights
-    remain those of the whole corpus.
+    There are ``num_results`` rows even when fewer documents match: the rest score zero, and only
+    then is the corpus read for ids. With ``flag``, a boolean column of ``corpus``, only flagged
+    documents are listed; term weights remain those of the whole corpus. A flag that the index
+    keeps is filtered there.
     """
-    parts, ids = _eligible(score_parts(index, query_text), corpus, flag)
-    return _topk(index, parts, ids, num_results)
+    stored_flag = flag if flag in index.flags else None
+    parts = score_parts(index, query_text, stored_flag)
+    ids = corpus.filter(F.col(flag)) if flag is not None else corpus
+    ids = ids.select("doc_id")
+    if flag is not None and stored_flag is None:
+        parts = parts.join(ids, "doc_id", "left_semi")
+    scored = _scores(parts)
+    best = scored.filter(F.col("score") > 0).orderBy(*best_first()).limit(num_results)
+    rows = best.collect()  # no more than the hits asked for
+    if len(rows) < num_results:
+        zeros = ids.join(scored, "doc_id", "left_anti").orderBy("doc_id").limit(num_results)
+        zeros = zeros.select("doc_id", F.lit(0.0).alias("score"))
+        best = scored.unionByName(zeros).orderBy(*best_first()).limit(num_results)
+        rows = best.collect()
+    return corpus.sparkSession.createDataFrame(rows, best.schema)
 
 
 def batch_topk(
@@ -147,25 +117,121 @@ def batch_topk(
 ) -> DataFrame:
     """``(qid, rank, doc_id, score)``: ``search_topk`` for each row of ``queries(qid, text)``.
 
-    Each task ranks its own rows before the shuffle and sends on no more than
-    ``num_results`` per query, so a query matching a third of all documents is no hot spot.
+    The index keeps each document's terms in one row, so a document's score for every query is
+    added up where the row is read, zeros included, and each task sends on its best
+    ``num_results`` per query: no pair of query and document crosses the network. The weights of
+    the query terms go to all tasks; so many queries that their weights have not been measured to
+    be small are worked through in parts of equal size.
     """
-    parts, ids = _eligible(batch_score_parts(index, queries), corpus, flag)
-    lowest = _lowest_ids(index, parts, ids, num_results)
-    zeros = queries.select(
-        "qid",
-        F.explode(lowest.agg(F.collect_list("doc_id")).scalar()).alias("doc_id"),
-        F.lit(0.0).alias("part"),
-    )
+    weights = query_weights(index, query_terms(queries, index), index.terms).select("qid", "term", "weight")
+    ids = queries.select("qid").distinct()
+    blocks, most = 1, ids.count()
+    while blocks < most and not can_broadcast(
+        weights.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == 0)
+    ):
+        blocks *= 2
+    documents = index.documents
+    if flag in index.flags:
+        documents = documents.filter(F.col(flag))
+    elif flag is not None:
+        documents = documents.join(corpus.filter(F.col(flag)).select("doc_id"), "doc_id", "left_semi")
+    avgdl = index.stats.first()["avgdl"]
+    parts = []
+    for block in range(blocks):
+        here = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block
+        parts.append(_block_topk(documents, ids.filter(here), weights.filter(here), avgdl, num_results))
+    best = parts[0]
+    for part in parts[1:]:
+        best = best.unionByName(part)
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(*best_first()))
-    return (
-        _scores(parts.unionByName(zeros))
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= num_results)
-        .select("qid", "rank", "doc_id", "score")
+    return best.withColumn("rank", rank).filter(F.col("rank") <= num_results).select(
+        "qid", "rank", "doc_id", "score"
     )
 
 
+def _block_topk(
+    documents: DataFrame, ids: DataFrame, weights: DataFrame, avgdl: float, num_results: int
+) -> DataFrame:
+    """The best of each task's documents for each query; what is collected was measured."""
+    kinds = {f.name: f.dataType.simpleString() for f in ids.schema} | {
+        f.name: f.dataType.simpleString() for f in documents.schema
+    }
+    names = [row["qid"] for row in ids.orderBy("qid").collect()]
+    number = {name: i for i, name in enumerate(names)}
+    found = weights.orderBy("term", "qid").toPandas()
+    terms, first = np.unique(found["term"].to_numpy(dtype=object), return_index=True)
+    query = np.array([number[q] for q in found["qid"]], dtype=np.int64)
+    weight = found["weight"].to_numpy(dtype=np.float64)
+    bounds = np.append(first, len(found))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Best(len(names), num_results)
+        for batch in batches:
+            lists = batch.column(2)
+            tokens, counts = lists.flatten().field(0), lists.flatten().field(1).to_numpy()
+            sizes = pc.list_value_length(lists).to_numpy()
+            doc = np.repeat(np.arange(len(batch)), sizes)
+            place = pc.index_in(tokens, value_set=pa.array(terms, pa.string()))
+            known = np.flatnonzero(place.is_valid())
+            term = place.drop_null().to_numpy().astype(np.int64)
+            repeats = bounds[term + 1] - bounds[term]
+            entry = np.repeat(bounds[term] - (np.cumsum(repeats) - repeats), repeats) + np.arange(repeats.sum())
+            row = np.repeat(doc[known], repeats)
+            tf = np.repeat(counts[known], repeats).astype(np.float64)
+            length = batch.column(1).to_numpy()[row]
+            part = term_score(weight[entry], tf, length, avgdl)
+            pair, which = np.unique(row * len(names) + query[entry], return_inverse=True)
+            score = np.round(np.bincount(which, part, len(pair)), RANK_DECIMALS)
+            best.add(batch.column(0), pair // len(names), pair % len(names), score)
+        yield from best.batches(pa.array(names))
+
+    schema = f"qid {kinds['qid']}, doc_id {kinds['doc_id']}, score double"
+    return documents.select("doc_id", "dl", "terms").mapInArrow(run, schema)
+
+
+class _Best:
+    """The best documents of one task for each query."""
+
+    def __init__(self, queries: int, num_results: int):
+        self.queries, self.num_results, self.table = queries, num_results, None
+
+    def add(self, ids: pa.Array, row: np.ndarray, query: np.ndarray, score: np.ndarray) -> None:
+        """Take the matches of a batch of documents, and its zeros where matches are few."""
+        order = pc.sort_indices(ids).to_numpy().astype(np.int64)
+        enough = np.zeros(self.queries, dtype=np.int64)
+        if self.table is not None:
+            kept = self.table["query"].to_numpy()[self.table["score"].to_numpy() >= 0]
+            enough = np.bincount(kept, minlength=self.queries)
+        by_query = np.argsort(query, kind="stable")
+        rows_of = row[by_query]
+        starts = np.searchsorted(query[by_query], np.arange(self.queries + 1))
+        more_row, more_query = [row], [query]
+        for short in np.flatnonzero(enough < self.num_results):
+            matched = np.zeros(len(ids), dtype=bool)
+            matched[rows_of[starts[short] : starts[short + 1]]] = True
+            zeros = order[~matched[order]][: self.num_results]
+            more_row.append(zeros)
+            more_query.append(np.full(len(zeros), short))
+        rows, queries = np.concatenate(more_row), np.concatenate(more_query)
+        scores = np.concatenate((score, np.zeros(len(rows) - len(score))))
+        fresh = pa.table({"query": queries, "score": scores, "doc_id": ids.take(pa.array(rows))})
+        table = fresh if self.table is None else pa.concat_tables([self.table, fresh])
+        ranked = table.take(pc.sort_indices(
+            table, sort_keys=[("query", "ascending"), ("score", "descending"), ("doc_id", "ascending")]
+        ))
+        of = ranked["query"].to_numpy()
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        self.table = ranked.take(pa.array(np.flatnonzero(place < self.num_results))).combine_chunks()
+
+    def batches(self, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        if self.table is not None and len(self.table):
+            found = pa.table({
+                "qid": names.take(self.table["query"].combine_chunks()),
+                "doc_id": self.table["doc_id"], "score": self.table["score"],
+            })
+            yield from found.to_batches(max_chunksize=10_000)
+
+
 def distinct_titles(hits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """The best hit of each title (per ``keys``) among the few rows that a top k has left."""
     place = F.row_number().over(Window.partitionBy(*keys, "title").orderBy(*best_first()))
@@ -175,15 +241,21 @@ def distinct_titles(hits: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def attach_documents(hits: DataFrame, corpus: DataFrame) -> DataFrame:
     """Add document columns to hits, which are read twice.
 
-    A short list of hits goes to the scan as a filter on ids, which skips the row groups
-    without them: many, when the table is sorted by id. Longer ones are joined.
+    The ids of up to ``PUSHED_IDS`` hits also go to the scan as equalities, which skip the files
+    and row groups without them: nearly all, when the table was stored by id (``write_by_id``).
     """
-    rows = hits.limit(LOOKUP_ROWS + 1).collect()
-    if len(rows) > LOOKUP_ROWS:
-        return corpus.join(F.broadcast(hits) if can_broadcast(hits) else hits, "doc_id")
-    found = hits.sparkSession.createDataFrame(rows, hits.schema)
-    wanted = corpus.filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in rows})))
-    return wanted.join(F.broadcast(found), "doc_id")
+    rows = hits.select("doc_id").distinct().limit(PUSHED_IDS + 1).collect()
+    if len(rows) <= PUSHED_IDS:
+        corpus = corpus.filter(_any_of("doc_id", sorted(r["doc_id"] for r in rows)))
+    return corpus.join(F.broadcast(hits) if can_broadcast(hits) else hits, "doc_id")
+
+
+def _any_of(column: str, values: list) -> Column:
+    """Equalities in a balanced tree: unlike a long IN list, all scans take them as they are."""
+    if len(values) <= 1:
+        return F.col(column) == values[0] if values else F.lit(False)
+    half = len(values) // 2
+    return _any_of(column, values[:half]) | _any_of(column, values[half:])
 
 
 def search(
@@ -197,16 +269,7 @@ def search(
 
     Titles are made distinct after the limit, so fewer than ``num_results`` may come back.
     """
-    parts, ids = _eligible(score_parts(index, query_text), corpus, flag)
-    hits = None
-    if num_results <= LOOKUP_ROWS:
-        # Most searches have enough matches, and then no documents need be found for zeros.
-        matches = _scores(parts).drop("qid").filter(F.col("score") > 0)
-        rows = matches.orderBy(*best_first()).limit(num_results).collect()
-        if len(rows) == num_results:
-            hits = corpus.sparkSession.createDataFrame(rows, matches.schema)
-    if hits is None:
-        hits = _topk(index, parts, ids, num_results)
+    hits = search_topk(index, corpus, query_text, num_results, flag)
     listed = distinct_titles(attach_documents(hits, corpus)).orderBy(*best_first())
     return listed.withColumn("score", F.bround("score", 1))
 

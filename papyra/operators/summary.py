@@ -1,4 +1,4 @@
-"""Extractive summaries by TextRank, as windows over a table of sentences and words.
+"""Extractive summaries by TextRank over a table of sentences and words.
 
 TextRank ranks the sentences of a document by PageRank on a graph whose edge weights are BM25
 similarities. The graph is never built: a weight is a sum over shared words, so what a sentence
@@ -12,20 +12,26 @@ need local sorts only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
 from papyra.functions.text import (
     let, num_sentences, num_words, summary_sentences, term_counts, tokenize,
 )
+from papyra.sources.sizes import text_partitions
 
 DAMPING = 0.85
-# The scores start from the strengths of the sentences. What is left of the starting error
-# after the last step is at most DAMPING ** STEPS, 4 %, and far less in well linked texts.
-STEPS = 20
-# Scores are ranked to this many decimals, so that noise does not break ties.
-RANK_DECIMALS = 9
+# Iteration stops when no score, times the number of linked sentences, changes by more than this.
+TOLERANCE = 1e-10
+# Scores times the number of linked sentences, so about 1, are ranked to this many decimals, so
+# that noise does not break ties.
+RANK_DECIMALS = 7
+_RANKED_SCHEMA = (
+    "doc_id {id_type}, pos int, shown int, words int, sentences long, reached long, score double"
+)
 
 # Windows need a session, so they are made where they are used.
 
@@ -42,22 +48,6 @@ def _unit() -> WindowSpec:
     return Window.partitionBy("doc_id", "unit")
 
 
-def _earlier() -> WindowSpec:
-    return _unit().orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _holders() -> WindowSpec:
-    return _unit().orderBy("node").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-
-
-def _node() -> WindowSpec:
-    return Window.partitionBy("doc_id", "node").orderBy("unit").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-
-
 def _ranked() -> WindowSpec:
     return _doc().orderBy(F.col("score").desc(), "pos")
 
@@ -131,75 +121,68 @@ def _unit_table(sentence_table: DataFrame) -> DataFrame:
     return rows.drop("number", "links", "raw_idf", "once")
 
 
-def _received(value: Column) -> Column:
-    """What a node gets through a unit when every node gives ``value`` along each of its edges.
+def page_rank(node: np.ndarray, unit: np.ndarray, gain: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Converged scores, times their number, of the nodes ``0 .. n - 1`` of one document.
 
-    The weight of an edge is the gain of its later sentence times the idf of the shared units.
-    So from earlier sentences a node gets their values times its own gain, and from later ones
-    their values times theirs.
+    There is a row per node and unit that it shares with other nodes. The weight of an edge is the
+    gain of its later sentence times the idf of the shared units. So what a node receives through a
+    unit, when each node gives a value along each of its edges, is the values of earlier nodes times
+    its own gain, and the values of later ones times theirs: running sums over the unit's nodes.
     """
-    gained = F.col("gain") * value
-    earlier = F.coalesce(F.sum(value).over(_earlier()), F.lit(0.0))
-    gained_earlier = F.coalesce(F.sum(gained).over(_earlier()), F.lit(0.0))
-    later = F.sum(gained).over(_holders()) - gained_earlier - gained
-    return F.col("idf") * (F.col("gain") * earlier + later)
-
-
-def _step(previous: str) -> str:
-    """One step of PageRank after the statement ``previous``; see ``_received``."""
-    return f"""
-        SELECT * EXCEPT (score),
-            {1 - DAMPING}D / reached + {DAMPING}D * sum(share) OVER all_units AS score
-        FROM (
-            SELECT * EXCEPT (share),
-                idf * (
-                    gain * coalesce(sum(score * spread) OVER earlier, 0D)
-                    + sum(gain * score * spread) OVER holders
-                    - coalesce(sum(gain * score * spread) OVER earlier, 0D)
-                    - gain * score * spread
-                ) AS share
-            FROM ({previous})
-            WINDOW
-                holders AS (PARTITION BY doc_id, unit ORDER BY node
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING),
-                earlier AS (PARTITION BY doc_id, unit ORDER BY node
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    n = int(node.max()) + 1
+    order = np.lexsort((node, unit))
+    node, unit, gain, idf = node[order], unit[order], gain[order], idf[order]
+    first = np.searchsorted(unit, unit, side="left")
+    last = np.searchsorted(unit, unit, side="right")
+
+    def received(value: np.ndarray) -> np.ndarray:
+        plain = np.concatenate(([0.0], np.cumsum(value[node])))
+        gained = np.concatenate(([0.0], np.cumsum(gain * value[node])))
+        at = np.arange(len(node))
+        share = gain * (plain[at] - plain[first]) + gained[last] - gained[at + 1]
+        return np.bincount(node, idf * share, n)
+
+    spread = 1 / received(np.ones(n))
+    score = np.ones(n)
+    while True:
+        moved = 1 - DAMPING + DAMPING * received(score * spread)
+        if np.abs(moved - score).max() <= TOLERANCE:
+            return moved
+        score = moved
+
+
+def _rank_document(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sentences of one document with their scores; those without links score zero."""
+    linked = rows[rows["unit"].notna()]
+    shown = rows[rows["lead"]]
+    score, reached = np.zeros(len(shown)), shown["nodes"].to_numpy()
+    if len(linked):
+        nodes, number = np.unique(linked["node"].to_numpy(), return_inverse=True)
+        ranks = page_rank(
+            number, linked["unit"].to_numpy(), linked["gain"].to_numpy(), linked["idf"].to_numpy()
         )
-        WINDOW all_units AS (PARTITION BY doc_id, node ORDER BY unit
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+        # Copies of a node have its score.
+        place = np.minimum(np.searchsorted(nodes, shown["node"].to_numpy()), len(nodes) - 1)
+        score = np.where(nodes[place] == shown["node"].to_numpy(), ranks[place], 0.0)
+        reached = np.full(len(shown), len(nodes))
+    return pd.DataFrame({
+        "doc_id": shown["doc_id"], "pos": shown["pos"], "shown": shown["shown"],
+        "words": shown["words"], "sentences": shown["sentences"], "reached": reached,
+        "score": np.round(score, RANK_DECIMALS),
+    })
 
 
-def _ranks(unit_table: DataFrame, steps: int) -> DataFrame:
-    """A row per sentence with its PageRank ``score``; sentences without links score zero."""
-    linked = F.col("unit").isNotNull()
-    rows = unit_table.withColumn("share", F.when(linked, _received(F.lit(1.0))).otherwise(0.0))
-    rows = rows.withColumn("strength", F.sum("share").over(_node()))
-    once = F.col("lead") & linked
-    rows = rows.withColumns({
-        "linked_nodes": F.count_if(once).over(_doc()),
-        "all_strength": F.sum(F.when(once, F.col("strength"))).over(_doc()),
-    })
-    rows = rows.select(
-        "doc_id", "pos", "node", "shown", "words", "sentences", "lead", "unit", "gain", "idf",
-        F.coalesce(F.nullif("linked_nodes", F.lit(0)), "nodes").alias("reached"),
-        F.when(linked, 1 / F.col("strength")).otherwise(0.0).alias("spread"),
-        F.when(linked, F.col("strength") / F.col("all_strength")).otherwise(0.0).alias("score"),
-    )
-    # Five steps to a statement: one by one, the growing plan would be analysed each time, and
-    # much deeper statements than this exceed the analyser's limit.
-    rows = rows.withColumn("share", F.lit(0.0))
-    for done in range(0, steps, 5):
-        statement = "SELECT * FROM {start}"
-        for _ in range(min(5, steps - done)):
-            statement = _step(statement)
-        rows = unit_table.sparkSession.sql(statement, start=rows)
-    # Copies of a node have its score; nodes without links have none.
-    reachable = F.max("spread").over(_node()) > 0
-    rows = rows.withColumn("score", F.when(reachable, F.col("score")).otherwise(0.0))
-    return rows.filter("lead").select(
-        "doc_id", "pos", "shown", "words", "sentences", "reached",
-        F.round("score", RANK_DECIMALS).alias("score"),
+def _ranks(unit_table: DataFrame) -> DataFrame:
+    """A row per sentence with its PageRank ``score``.
+
+    The iteration runs to convergence inside the task that has the document's rows, which came
+    from one row of input; the rows are in place already, so nothing is shuffled.
+    """
+    id_type = unit_table.schema["doc_id"].dataType.simpleString()
+    rows = unit_table.select(
+        "doc_id", "pos", "node", "shown", "words", "sentences", "nodes", "lead", "unit", "gain", "idf"
     )
+    return rows.groupBy("doc_id").applyInPandas(_rank_document, _RANKED_SCHEMA.format(id_type=id_type))
 
 
 def _choose(ranks: DataFrame, word_count: int) -> DataFrame:
@@ -227,22 +210,21 @@ def summarize(
     text_column: str = "abstract",
     id_column: str = "doc_id",
     word_count: int = fixed.SUMMARY_WORDS,
-    steps: int = STEPS,
     partitions: int | None = None,
 ) -> DataFrame:
     """``(id, summary)`` for each row: the text itself when it cannot be shortened.
 
     A summary is a list of whole sentences in their order in the text, one per line, of about
-    ``word_count`` words. The texts are spread over ``partitions`` (the session's number of
-    shuffle partitions), a fixed number: merging small ones, as adaptive execution does by
-    size, would make few tasks of much work.
+    ``word_count`` words. The texts are spread over ``partitions``, by default one for each task slot
+    and for each ``TEXT_PARTITION_BYTES`` of text, which is measured: merging small ones, as
+    adaptive execution does by size, would make few tasks of much work.
     """
     texts = df.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or text_partitions(texts, "text")
     # Ids are never null. Said here, both readers of the shuffled text have the same filter, and
     # so share one shuffle.
     texts = texts.filter(F.col("doc_id").isNotNull()).repartition(partitions, "doc_id")
-    ranks = _ranks(_unit_table(_sentence_table(texts)), steps)
+    ranks = _ranks(_unit_table(_sentence_table(texts)))
     chosen = _choose(ranks, word_count)
     summary = let(
         summary_sentences("text"),

@@ -32,17 +32,29 @@ def write_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, cluster_by: str, sort_by: Sequence[str]) -> None:
+def write_clustered(
+    df: DataFrame, path: str, cluster_by: str, sort_by: Sequence[str], partitions: int
+) -> None:
     """Write ``df`` as Parquet, one directory per value of ``cluster_by``, sorted inside.
 
-    The rebalance hint sends a value of ``cluster_by`` to one task when it is small and lets
-    adaptive execution split it over many when it is large, so one hot value (a term in every
-    third document) is neither a slow task nor a giant file.
+    Rows are dealt out by ranges of ``cluster_by`` and ``sort_by``, so the files of a directory
+    hold ranges that do not overlap, and one hot value (a term in every third document) is spread
+    over as many files as its rows need, since the last sort column tells its rows apart.
     """
+    keys = (cluster_by, *sort_by)
     (
-        df.hint("rebalance", cluster_by)
-        .sortWithinPartitions(cluster_by, *sort_by)
+        df.repartitionByRange(partitions, *keys)
+        .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .partitionBy(cluster_by)
         .parquet(path)
     )
+
+
+def write_by_id(df: DataFrame, path: str, id_column: str = "doc_id", partitions: int | None = None) -> None:
+    """Write ``df`` as Parquet in files of id ranges that do not overlap, sorted inside.
+
+    A filter on a few ids then reads few files' row groups; others are skipped by their statistics.
+    """
+    count = [partitions] if partitions else []
+    df.repartitionByRange(*count, id_column).sortWithinPartitions(id_column).write.mode("overwrite").parquet(path)

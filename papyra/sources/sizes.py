@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side found to hold no more rows, and no more bytes of text in them, is broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_TEXT_BYTES = 64 << 20
-# A table of texts with no more rows than this is dealt out to all task slots.
-SPREAD_ROWS = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counting stops there."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Text that one task works on.
+TEXT_PARTITION_BYTES = 16 << 20
 
 
 def can_broadcast(df: DataFrame) -> bool:
@@ -27,15 +22,12 @@ def can_broadcast(df: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and text_bytes <= BROADCAST_TEXT_BYTES
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows of a small table, dealt out to all task slots."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
+def partitions_for(spark: SparkSession, text_bytes: int) -> int:
+    """How many partitions work on so much text takes: one per task slot and per so many bytes."""
+    return max(spark.sparkContext.defaultParallelism, -(-text_bytes // TEXT_PARTITION_BYTES))
 
-def spread_if_small(df: DataFrame, max_rows: int = SPREAD_ROWS) -> DataFrame:
-    """``df``, dealt out to all task slots if it is small.
 
-    A small file is a single row group, which one task would read and work on alone. Large
-    tables come in row groups enough, and are not shuffled.
-    """
-    return spread(df) if is_small(df, max_rows) else df
+def text_partitions(df: DataFrame, text_column: str) -> int:
+    """``partitions_for`` the measured size of a column."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(text_column)), F.lit(0))).first()[0]
+    return partitions_for(df.sparkSession, size)

@@ -65,7 +65,7 @@ def corpus(spark, docs, tmp_path_factory):
 @pytest.fixture(scope="module")
 def index(spark, corpus, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("index"))
-    build_index(corpus, path, buckets=4)
+    build_index(corpus, path, buckets=4, flags=["flag"])
     return load_index(spark, path)
 
 
@@ -82,6 +82,8 @@ def test_scores_and_top_k(corpus, index, docs, query):
     assert pairs(s.search_topk(index, corpus, query, 7)) == best(expected, 7)
     flagged = best(expected, 7, lambda i: i % 2 == 0)
     assert pairs(s.search_topk(index, corpus, query, 7, "flag")) == flagged
+    renamed = corpus.withColumnRenamed("flag", "not_in_the_index")
+    assert pairs(s.search_topk(index, renamed, query, 7, "not_in_the_index")) == flagged
 
 
 def test_search_keeps_the_best_of_each_title(corpus, index, docs):
@@ -103,7 +105,7 @@ def test_search_without_matches_lists_the_lowest_ids(corpus, index):
 
 def test_large_results_are_joined(corpus, index, docs, monkeypatch):
     expected = s.search(index, corpus, "hot w1", 12).collect()
-    monkeypatch.setattr(s, "LOOKUP_ROWS", 3)
+    monkeypatch.setattr(s, "PUSHED_IDS", 3)
     assert s.search(index, corpus, "hot w1", 12).collect() == expected
     monkeypatch.setattr(s, "can_broadcast", lambda df: False)
     assert s.search(index, corpus, "hot w1", 12).collect() == expected
@@ -120,6 +122,8 @@ def test_batch_equals_single_searches(spark, corpus, index, docs, small, monkeyp
         assert got == best(okapi(docs, text.split()), 6)
     flagged = s.batch_topk(index, corpus, queries, 6, "flag").collect()
     assert all(r["doc_id"] % 2 == 0 for r in flagged) and len(flagged) == 30
+    renamed = corpus.withColumnRenamed("flag", "other")
+    assert sorted(s.batch_topk(index, renamed, queries, 6, "other").collect()) == sorted(flagged)
     listed = s.search_batch(index, corpus, queries, 6).collect()
     for qid, text in texts.items():
         single = s.search(index, corpus, text, 6).select("doc_id", "score").collect()
@@ -167,17 +171,31 @@ def test_hot_word_is_stored_in_its_own_folder(index):
     assert index.postings.filter("term = 'hot'").agg(F.sum("tf")).first()[0] == 20
 
 
-def test_hot_bucket_is_split(spark, corpus, tmp_path):
-    """What exceeds the advisory size goes to several tasks, each with its own sorted file."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "2000b")
-    try:
-        index = build_index(corpus, str(tmp_path / "i"), buckets=1)
-    finally:
-        spark.conf.set(name, before)
-    assert len(list((tmp_path / "i" / "postings" / "bucket=0").glob("*.parquet"))) > 1
-    assert index.postings.filter("term = 'hot'").count() == 20
+def test_hot_bucket_is_split(spark, corpus, tmp_path, monkeypatch):
+    """A large bucket is cut into files of term ranges, which meet at one term at most."""
+    from papyra.sources import sizes
+
+    monkeypatch.setattr(sizes, "TEXT_PARTITION_BYTES", 25)
+    index = build_index(corpus, str(tmp_path / "i"), buckets=1)
+    files = index.postings.groupBy(F.input_file_name()).agg(F.min("term"), F.max("term")).collect()
+    ranges = sorted(tuple(f)[1:] for f in files)
+    assert len(ranges) > 10
+    assert all(left[1] <= right[0] for left, right in zip(ranges, ranges[1:]))
+    hot = index.postings.filter("term = 'hot'")
+    assert hot.count() == 20 and hot.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_a_build_that_breaks_off_leaves_the_last_index(spark, corpus, tmp_path, monkeypatch):
+    from papyra.plans import index as plan
+
+    build_index(corpus, str(tmp_path / "i"), buckets=2)
+    monkeypatch.setattr(plan, "bm25_stats", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        build_index(corpus.limit(3), str(tmp_path / "i"), buckets=2)
+    monkeypatch.undo()
+    assert load_index(spark, str(tmp_path / "i")).stats.first()["n"] == 60
+    build_index(corpus.limit(3), str(tmp_path / "i"), buckets=2)
+    assert load_index(spark, str(tmp_path / "i")).stats.first()["n"] == 3
 
 
 def test_broadcast_is_measured(spark, monkeypatch):

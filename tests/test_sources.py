@@ -74,8 +74,32 @@ def test_job_arguments():
     assert (args.env, args.input_path, args.input_format, args.output_path) == (
         "DEV", "in", "csv", "out"
     )
-    with pytest.raises(ValueError):
-        job.JobArguments.parse(["job.py", "DEV", "in", "csv"])
+    args = job.JobArguments.parse([
+        "job.py", "DEV", "a,b.csv", "csv", "out", "--input", "c.csv", "--option", "multiLine=true",
+        "--option", 'escape="', "--id", "key", "--sample", "0.5", "--schema", "key long, title string",
+    ])
+    assert args == job.JobArguments(
+        "DEV", "a,b.csv", "csv", "out", ("c.csv",), (("multiLine", "true"), ("escape", '"')),
+        "key long, title string", "key", 0.5,
+    )
+    for wrong in (["DEV", "in", "csv"], ["DEV", "in", "csv", "out", "more"], ["DEV", "in", "csv", "out", "--option", "x"]):
+        with pytest.raises(ValueError):
+            job.JobArguments.parse(["job.py", *wrong])
+
+
+def test_job_with_options_and_ids(spark, tmp_path):
+    path = tmp_path / "a,b.csv"
+    path.write_text('key,title,abstract,publish_time,url\n7,a title,"two\nlines ""x""",2020,u\n')
+    args = job.JobArguments("DEV", str(path), "csv", str(tmp_path / "out"), (), (("multiLine", "true"), ("escape", '"')), None, "key")
+    job.run(args)
+    row = spark.read.parquet(args.output_path).first()
+    assert (row["doc_id"], row["abstract"]) == ("7", 'two\nlines "x"')
+
+
+def test_session_on_this_machine(spark):
+    from papyra.sources.session import get_session
+
+    assert get_session("DEV").sparkContext.master.startswith("local")
 
 
 def test_job_finds_duplicates_across_files(spark, tmp_path):
@@ -84,9 +108,9 @@ def test_job_finds_duplicates_across_files(spark, tmp_path):
         tmp_path / "2.csv", "covid vaccine two,same text,2020,,,,u2", "x,other,2019,,,,u3"
     )
     out = str(tmp_path / "out")
-    job.run(job.JobArguments("DEV", f"{one},{two}", "csv", out))
+    job.run(job.JobArguments("DEV", one, "csv", out, more_inputs=(two,)))
     rows = {r["abstract"]: r for r in spark.read.parquet(out).collect()}
     assert set(rows) == {"same text", "other"}
     assert rows["other"]["title"] == "" and rows["same text"]["publish_time"] == "2020-01-01"
-    job.run(job.JobArguments("DEV", f"{one},{two}", "csv", out), sample_fraction=0.0)
+    job.run(job.JobArguments("DEV", one, "csv", out, more_inputs=(two,), sample_fraction=0.0))
     assert spark.read.parquet(out).count() == 0

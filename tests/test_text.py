@@ -18,12 +18,30 @@ def evaluate(spark, texts, *columns):
 
 def python_tokens(text):
     text = "".join(" " if c == "/" else c for c in text.lower() if c not in fixed.REMOVED_CHARACTERS)
-    words = re.split(r"""[\s!@#$&\[\]{}"*«»‘„]+|--""", text)
-    pattern = re.compile(r"^(20|19)\d{2}|(?=[a-z])[\w\-\d]+$")
-    return [w for w in words if len(w) > 1 and w not in fixed.STOP_WORDS and pattern.match(w)]
+    for separator in ("--", *"!@#$&[]{}\"*«»‘„"):
+        text = text.replace(separator, " ")
+    return [w for w in text.split() if len(w) > 1 and w not in fixed.STOP_WORDS and is_token(w)]
 
 
-ALPHABET = "aB1-9 20./'\"!()é\nthe_"
+def is_token(word):
+    """A year first, or a letter a-z and then nothing but letters, digits, "_" and "-"."""
+    if word[:2] in ("19", "20") and len(word) >= 4 and all(c in "0123456789" for c in word[2:4]):
+        return True
+    return word[0] in "abcdefghijklmnopqrstuvwxyz" and all(c.isalnum() or c in "_-" for c in word)
+
+
+ALPHABET = "aB1-9 20./'\"!()é\nthe_\u00a0\u2009\u202f\u3000"
+
+
+def test_unicode_spaces_part_words_and_sentences(spark):
+    for space in "\u00a0\u2009\u202f\u3000\x0b\x85":
+        texts = [f"covid{space}vaccine", f"One thing here.{space}Two things here. Three."]
+        got = evaluate(
+            spark, texts, x.tokenize("s").alias("t"), x.num_words("s").alias("w"),
+            x.num_sentences("s").alias("n"), x.clean_text("s").alias("c"),
+        )
+        assert got[0][:3] == (["covid", "vaccine"], 2, 1) and got[0][3] == "covid vaccine"
+        assert got[1][1:3] == (7, 3)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
