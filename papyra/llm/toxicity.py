@@ -59,12 +59,20 @@ def values(counts: np.ndarray) -> np.ndarray:
 
 def fit(
     terms: np.ndarray, counts: np.ndarray, offsets: np.ndarray, labels: np.ndarray, chosen: np.ndarray,
-    rank: int = 4, epochs: int = 15, rate: float = 0.05, shrink: float = 1e-3, batch: int = 64, seed: int = 0,
+    rank: int = 4, epochs: int = 15, steps: int = 3000, rate: float = 0.1, shrink: float = 1e-3,
+    toxic_weight: float = 3.0, batch: int = 64, seed: int = 0,
 ) -> FactorizationMachine:
-    """Logistic loss, AdaGrad steps over shuffled batches; ``terms`` are numbers into ``chosen``."""
+    """Logistic loss, AdaGrad steps over shuffled batches; ``terms`` are numbers into ``chosen``.
+
+    The bias starts from the share of label 1, of which each row counts ``toxic_weight`` times,
+    since a missed one costs more. There are ``epochs`` rounds at least, and as many
+    more as make up ``steps``, so that few rows are learned as well as many.
+    """
     random = np.random.default_rng(seed)
     linear, factors = np.zeros(len(chosen)), random.normal(0, 0.05, (len(chosen), rank))
-    bias, past_bias = 0.0, 1e-8
+    share = min(max(labels.mean(), 1e-6), 1 - 1e-6) if len(labels) else 0.5
+    bias, past_bias = float(np.log(share / (1 - share))), 1e-8
+    epochs = max(epochs, -(-steps // max(1, -(-len(labels) // batch))))
     past_linear, past_factors = np.full(len(chosen), 1e-8), np.full(factors.shape, 1e-8)
     order = np.arange(len(labels))
     for _ in range(epochs):
@@ -81,6 +89,7 @@ def fit(
             squares = np.bincount(owner, (each**2).sum(axis=1), len(rows))
             z = bias + np.bincount(owner, linear[term] * x, len(rows)) + ((sums**2).sum(axis=1) - squares) / 2
             miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]
+            miss *= np.where(labels[rows] == 1, toxic_weight, 1.0)
             pull = miss[owner] * x
             used, which = np.unique(term, return_inverse=True)
             step = np.bincount(which, pull, len(used)) + shrink * linear[used]
