@@ -156,8 +156,8 @@ def _block_topk(
     kinds = {f.name: f.dataType.simpleString() for f in ids.schema} | {
         f.name: f.dataType.simpleString() for f in documents.schema
     }
-    names = [row["qid"] for row in ids.orderBy("qid").collect()]
-    number = {name: i for i, name in enumerate(names)}
+    names = ids.orderBy("qid").toArrow()["qid"].combine_chunks()
+    number = {name: i for i, name in enumerate(names.to_pylist())}
     found = weights.orderBy("term", "qid").toPandas()
     terms, first = np.unique(found["term"].to_numpy(dtype=object), return_index=True)
     query = np.array([number[q] for q in found["qid"]], dtype=np.int64)
@@ -183,7 +183,7 @@ def _block_topk(
             pair, which = np.unique(row * len(names) + query[entry], return_inverse=True)
             score = np.round(np.bincount(which, part, len(pair)), RANK_DECIMALS)
             best.add(batch.column(0), pair // len(names), pair % len(names), score)
-        yield from best.batches(pa.array(names))
+        yield from best.batches(names)
 
     schema = f"qid {kinds['qid']}, doc_id {kinds['doc_id']}, score double"
     return documents.select("doc_id", "dl", "terms").mapInArrow(run, schema)
