@@ -19,8 +19,8 @@ from papyra.llm.words import byte_hashes
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Chunks remembered by one task; the store is emptied when it is full.
-REMEMBERED = 600_000
-_BLOCK_BYTES = 4 << 20
+REMEMBERED = 250_000
+_BLOCK_BYTES = 1 << 20
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 
@@ -125,5 +125,6 @@ class Encoder:
         """Whether each chunk has the very bytes of the chunk whose number ``like`` gives."""
         if (lengths != lengths[like]).any():
             return False
-        inside = np.flatnonzero(letters != 32)
-        return bool((letters[inside] == letters[inside + np.repeat(starts[like] - starts, lengths)]).all())
+        inside = np.flatnonzero(letters != 32).astype(np.int32)
+        moved = np.repeat((starts[like] - starts).astype(np.int32), lengths)
+        return bool((letters[inside] == letters[inside + moved]).all())

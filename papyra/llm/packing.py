@@ -16,6 +16,8 @@ WINDOW = 1024
 END_ID = 0
 _SCHEMA = "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema([(name, pa.int64()) for name in ("id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
+# Documents that a task encodes together.
+READ_ROWS = 500
 # Sequences of one task are numbered from its partition number times this.
 TASK_SEQUENCES = 1 << 40
 
@@ -123,7 +125,7 @@ def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
     batch = []
     for row in rows:
         batch.append(row)
-        if len(batch) == 4096:
+        if len(batch) == 1024:
             yield _record_batch(batch)
             batch = []
     if batch:
@@ -156,10 +158,11 @@ def pack(
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                numbers = batch.column(0).to_pylist()
-                texts = [text or "" for text in batch.column(1).to_pylist()]
-                for number, ids in zip(numbers, encoder.encode(texts)):
-                    yield from packer.add(number, np.concatenate((ids, end)).astype("<u4", copy=False))
+                for start in range(0, len(batch), READ_ROWS):
+                    part = batch.slice(start, READ_ROWS)
+                    texts = [text or "" for text in part.column(1).to_pylist()]
+                    for number, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
+                        yield from packer.add(number, np.concatenate((ids, end)).astype("<u4", copy=False))
             yield from packer.finish()
 
         yield from _batches(rows())

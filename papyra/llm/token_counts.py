@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyra.llm.bpe import Encoder
+from papyra.llm.packing import READ_ROWS
 
 RULES = ("first", "most")
 _SCHEMA = (
@@ -81,7 +82,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in (b.slice(start, READ_ROWS) for b in batches for start in range(0, len(b), READ_ROWS)):
             ids = batch.column(0).to_pylist()
             columns = [batch.column(1 + i).to_pylist() for i in range(len(names))]
             parts = [[(value or "").encode() for value in row] for row in zip(*columns)]

@@ -65,8 +65,8 @@ def byte_hashes(letters: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     """Hash of each run of bytes; runs are given in order and have at least one byte."""
     powers = np.cumprod(np.full(lengths.max(), _BASE))
     first = np.cumsum(lengths) - lengths
-    place = np.arange(lengths.sum()) - np.repeat(first, lengths)
-    values = _BYTE[letters[np.repeat(starts, lengths) + place]] * powers[place]
+    place = np.arange(lengths.sum(), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+    values = _BYTE[letters[np.repeat(starts.astype(np.int32), lengths) + place]] * powers[place]
     return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
 
 
