@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript iframe template textarea title svg math object".split())
-_NEVER = frozenset("nav footer aside form button select option label dialog menu head fieldset".split())
+_RAW = frozenset("script style noscript iframe template textarea title svg object".split())
+# Of these, the ones that hold markup: without an end tag they do not run to the end of the page.
+_MARKUP = frozenset("template svg object".split())
+_NEVER = frozenset("nav footer aside form button select option label dialog menu head fieldset annotation annotation-xml".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table"
@@ -36,7 +38,12 @@ _HINTS = frozenset(
 )
 # Words of parts that may hold articles of others.
 _OTHERS = frozenset("comment comments reply replies disqus related recommended".split())
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+# Quotes count only after "=", and only if they are closed.
+_TAG = re.compile(
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+)>"""
+)
+_LOOSE_TAG = re.compile("<(/?)([a-zA-Z][^\\s/>]*+)([^>]*+)>")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in _RAW}
 _ATTRIBUTE = re.compile(
     r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.IGNORECASE
 )
@@ -123,7 +130,7 @@ class Page:
         return False
 
     def _parse(self, source: str) -> None:
-        at, size, lower = 0, len(source), None
+        at, size, pattern = 0, len(source), _TAG
         while at < size:
             opening = source.find("<", at)
             if opening < 0:
@@ -133,27 +140,34 @@ class Page:
             if opening == size:
                 return
             at = opening
+            following = source[at + 1 : at + 2]
+            named = source[at + 2 : at + 3] if following == "/" else following
             if source.startswith("<!--", at):
-                end = source.find("-->", at + 4)
+                end = source.find("-->", at + 2)
                 at = size if end < 0 else end + 3
-            elif source[at + 1 : at + 2] in ("!", "?"):
-                end = source.find(">", at)
-                at = size if end < 0 else end + 1
-            elif tag := _TAG.match(source, at):
+            elif named.isascii() and named.isalpha():
+                tag = pattern.match(source, at)
+                if not tag:
+                    # All that is left counts as quoted; from here on, tags end at the next ">".
+                    pattern = _LOOSE_TAG
+                    tag = pattern.match(source, at)
+                if not tag:
+                    return  # a tag that the page breaks off in
                 at, name = tag.end(), tag[2].lower()
                 if tag[1]:
                     self._end(name)
                 elif name in _RAW:
-                    if lower is None:
-                        lower = source.lower()
-                        lower = source if len(lower) != size else lower
-                    end = lower.find(f"</{name}", at)
-                    end = size if end < 0 else source.find(">", end)
-                    at = size if end < 0 else end + 1
+                    if name == "svg" and tag[3].endswith("/"):
+                        continue
+                    closing = _RAW_END[name].search(source, at)
+                    end = source.find(">", closing.end()) if closing else -1
+                    if end >= 0 or name not in _MARKUP:
+                        at = size if end < 0 else end + 1
                 else:
                     self._start(name, tag[3])
-            elif source[at + 1 : at + 2].isalpha() or source[at + 1 : at + 2] == "/":
-                return  # a tag that the page breaks off in
+            elif following in ("!", "?") or following == "/" and named:
+                end = source.find(">", at)
+                at = size if end < 0 else end + 1
             else:
                 self.items.append((self._open[-1], "<"))
                 at += 1

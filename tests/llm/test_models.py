@@ -39,6 +39,25 @@ def test_odd_sources(source, text):
     assert Page(source).main_text() == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<p>I </3 it. <p>more</p>", "I more"), ("<p>a</>b</p><p>c", "ab\nc"), ("<p>a</ >b", "ab"),
+    ("<p>a<img alt=Bob's>b</p><p>c", "ab\nc"), ("<p>a<img alt=Bob's>b</p><p>it's c", "ab\nit's c"),
+    ("""<p class="a"">b</p><p>c""", "b\nc"), ("""<p>a<a href="x>b</a></p><p>c""", "ab\nc"),
+    ("<p class = 'a>b'>c", "c"),
+    ("<p title=a=\"b>c</p><p>d\"", 'c\nd"'), ("a <é b", "a <é b"), ("a </", "a </"), ("<!--><p>a", "a"),
+    ("İ<script>x</SCRIPT ><p>a", "İ\na"), ("<p>İ<style>x</Style>a</p>" + "İ" * 9, "İa\n" + "İ" * 9),
+    ("<script>x</ſcript></script>a", "a"), ("<script>'</scripts>'</script>a", "a"),
+    ("<p>a<svg class=x />b</p>", "ab"), ("<p>a<svg><path>b</p>", "ab"), ("<p>a <math><mi>x</mi></math> b", "a x b"),
+])
+def test_broken_tags_cut_nothing(source, text):
+    assert Page(source).main_text() == text
+
+
+def test_broken_tags_take_linear_time():
+    page = Page("""<a x="><b" y=\"""" * 100_000)
+    assert len(page.tags) >= 100_000
+
+
 def test_pages_of_the_table(spark, sf_dir):
     """Here every article is marked, and holds nothing else."""
     import html
