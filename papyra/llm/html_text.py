@@ -16,7 +16,10 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style noscript iframe template textarea title svg object".split())
 # Of these, the ones that hold markup: without an end tag they do not run to the end of the page.
 _MARKUP = frozenset("template svg object".split())
-_NEVER = frozenset("nav footer aside form button select option label dialog menu head fieldset annotation annotation-xml".split())
+_NEVER = frozenset("button select option label dialog head annotation annotation-xml".split())
+# Left out unless they hold most of the text; the first may be laid around the whole page.
+_FORMS = frozenset("form fieldset".split())
+_ASIDE = _FORMS | frozenset("nav footer aside menu".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table"
@@ -29,24 +32,40 @@ _ENDS = {
     "tr": ("tr", {"table"}), "td": ("td th", {"table", "tr"}), "th": ("td th", {"table", "tr"}),
     "option": ("option", {"select"}),
 }
-# Words of class, id and role that mark menus, notices, adverts and reader comments.
-_HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies"
-    " consent notice notices alert popup modal newsletter subscribe signup login nav navbar navigation menu"
-    " breadcrumb breadcrumbs sidebar footer header masthead share sharing social pagination pager widget"
-    " toolbar search complementary contentinfo toc".split()
+# Words of class, id and role that mark menus and other parts beside the text.
+_LAYOUT = frozenset(
+    "banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead share sharing"
+    " social pagination pager widget widgets toolbar search complementary contentinfo toc".split()
 )
+# Words that mark adverts and notices, which may be longer than the text.
+_NOTICES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent"
+    " notice notices alert popup modal newsletter subscribe signup login".split()
+)
+_HINTS = _LAYOUT | _NOTICES
 # Words of parts that may hold articles of others.
 _OTHERS = frozenset("comment comments reply replies disqus related recommended".split())
+# Words that may stand beside these in one name; any other word makes it the name of something else.
+_BESIDE = frozenset(
+    "site main global primary secondary top bottom left right box bar list item items block container wrapper"
+    " inner".split()
+)
+_BESIDE_OTHERS = _BESIDE | _HINTS | frozenset(
+    "post posts article articles story stories news content body text thread section area reader readers user form"
+    .split()
+)
+# An element so marked is part of the text all the same if it holds more than such a share of the
+# page's text outside links. Where an article is marked elsewhere, the layout must hold nearly all,
+# and what is no layout is never part of the text.
+_MOST, _NEARLY_ALL = 0.5, 0.9
 # Quotes count only after "=", and only if they are closed.
 _TAG = re.compile(
     r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+)>"""
 )
 _LOOSE_TAG = re.compile("<(/?)([a-zA-Z][^\\s/>]*+)([^>]*+)>")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in _RAW}
-_ATTRIBUTE = re.compile(
-    r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.IGNORECASE
-)
+_MARKING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 _WORD = re.compile("[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
@@ -56,13 +75,15 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parents, self.first, self.last = ["html"], [-1], [0], [0]
         self.dropped = [False]
-        self._by_word: set[int] = set()  # dropped only for a word that may be the page's layout
+        self._by_word: set[int] = set()  # dropped only for what may be the page's layout
+        self._beside: set[int] = set()  # dropped unless they hold nearly all of the text
+        self._layout: set[int] = set()  # of these, dropped unless they hold most of it
         self.items: list[tuple[int, str]] = []  # element and text; an empty text parts blocks
         self._open, self._counts = [0], Counter(["html"])
         self._parse(source)
         while self._open:
             self._close()
-        self._spare_articles()
+        self._spare()
 
     def _close(self) -> None:
         node = self._open.pop()
@@ -109,25 +130,34 @@ class Page:
     def _is_extra(self, tag: str, attributes: str) -> bool:
         if tag in _NEVER:
             return True
-        if tag == "header":
-            return not self._counts["article"] and not self._counts["main"]
-        if tag in ("html", "body", "main") or not attributes:
-            return False
-        for name, value in _ATTRIBUTE.findall(attributes):
+        extra = tag in _ASIDE or tag == "header" and not self._counts["article"] and not self._counts["main"]
+        layout, notice = not extra or tag in _FORMS, False
+        if tag in ("html", "body", "main") or not _MARKING.search(attributes):
+            found = []
+        else:
+            found = _ATTRIBUTE.findall(attributes)
+        for name, value in found:
             value, name = value.strip("\"'"), name.lower()
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             if name == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     return True
-            elif name != "aria-hidden":
-                words = {word.lower() for word in _WORD.findall(value)}
-                if words & _OTHERS:
-                    return True
-                if words & _HINTS:
-                    self._by_word.add(len(self.tags) - 1)
-                    return True
-        return False
+            elif name in ("class", "id", "role"):
+                for token in value.split():
+                    words = {word.lower() for word in _WORD.findall(token)}
+                    if words & _OTHERS and words <= _OTHERS | _BESIDE_OTHERS:
+                        extra, layout = True, False
+                    elif words & _HINTS and words <= _HINTS | _BESIDE:
+                        extra, notice = True, notice or bool(words & _NOTICES)
+        if extra:
+            node = len(self.tags) - 1
+            self._beside.add(node)
+            if layout:
+                self._by_word.add(node)
+            if layout and not notice:
+                self._layout.add(node)
+        return extra
 
     def _parse(self, source: str) -> None:
         at, size, pattern = 0, len(source), _TAG
@@ -172,8 +202,38 @@ class Page:
                 self.items.append((self._open[-1], "<"))
                 at += 1
 
-    def _spare_articles(self) -> None:
-        """An element marked only by a word is no extra when it holds an article or the main part."""
+    def _links(self) -> list[bool]:
+        in_link = [False] * len(self.tags)
+        for node in range(1, len(self.tags)):
+            in_link[node] = in_link[self.parents[node]] or self.tags[node] == "a"
+        return in_link
+
+    def _spare(self) -> None:
+        """An element is no extra when it holds most of the text, or, by mark of layout, an article."""
+        n = len(self.tags)
+        if self._beside:
+            in_link, hidden, apart, marked = self._links(), [False] * n, [False] * n, [False] * n
+            for node in range(1, n):
+                up, dropped = self.parents[node], self.dropped[node]
+                hidden[node] = hidden[up] or dropped and node not in self._beside
+                apart[node] = apart[up] or dropped and node not in self._by_word
+                marked[node] = not apart[node] and (marked[up] or self.tags[node] in ("article", "main"))
+            chars, in_marked = [0] * n, [0] * n
+            for node, text in self.items:
+                if not hidden[node] and not in_link[node]:
+                    count = len(" ".join(text.split()))
+                    chars[node] += count
+                    in_marked[node] += count * marked[node]
+            for node in range(n - 1, 0, -1):
+                chars[self.parents[node]] += chars[node]
+                in_marked[self.parents[node]] += in_marked[node]
+            for node in self._beside:
+                elsewhere = in_marked[0] > in_marked[node]
+                if elsewhere and node not in self._layout:
+                    continue
+                share = _MOST if node in self._layout and not elsewhere else _NEARLY_ALL
+                if chars[node] > share * chars[0]:
+                    self.dropped[node] = False
         for node, tag in enumerate(self.tags):
             if tag in ("article", "main") and not self.dropped[node]:
                 up = self.parents[node]
@@ -181,16 +241,14 @@ class Page:
                     if up in self._by_word:
                         self.dropped[up] = False
                     up = self.parents[up]
-        for node in range(1, len(self.tags)):
+        for node in range(1, n):
             self.dropped[node] = self.dropped[node] or self.dropped[self.parents[node]]
 
     def densities(self) -> list[float]:
         """Composite text density of each element: link-adjusted characters for each tag."""
         n = len(self.tags)
         chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-        in_link = [False] * n
-        for node in range(1, n):
-            in_link[node] = in_link[self.parents[node]] or self.tags[node] == "a"
+        in_link = self._links()
         for node, text in self.items:
             if not self.dropped[node]:
                 count = len(" ".join(text.split()))
@@ -238,6 +296,7 @@ class Page:
             kept[node] = (
                 node in on_path or up >= 0 and (kept[up] and up not in on_path or up == best)
                 or up in on_path and (density[node] >= least or self.tags[node] in _HEADINGS)
+                or self.tags[node] == "h1"
             )
         return self._text(0, kept)
 
@@ -259,10 +318,11 @@ def extract_text(
     """``id_col, url_col, text`` for each row of ``pages``, from the whole source.
 
     Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-    comments are left out by element and by the words of their class, id and role. Of the rest,
+    comments are left out by element and by the names in their class, id and role, unless they hold
+    most of the text outside links (nearly all, for notices and comments). Of the rest,
     the element whose children have the largest sum of composite text density is the article, or
     its enclosing ``article`` or ``main``; elsewhere, parts beside it that reach the least density
-    on its path to the body, and headings, belong to it too. Text is decoded, blocks are parted by
+    on its path to the body, headings there and any ``h1`` belong to it too. Text is decoded, blocks are parted by
     line feeds, white space inside a block is one space. A null or empty source, or one without
     text, gives an empty text. Null and repeated ids are kept; other columns are not read.
     """

@@ -58,6 +58,34 @@ def test_broken_tags_take_linear_time():
     assert len(page.tags) >= 100_000
 
 
+BODY = "<h1>Title</h1>" + "".join(f"<p>Paragraph {i} of a text, longer than all that stands beside it.</p>" for i in range(9))
+LINES = "\n".join(["Title"] + [f"Paragraph {i} of a text, longer than all that stands beside it." for i in range(9)])
+
+
+@pytest.mark.parametrize("page", [
+    *[f"<div class='{name}'><div>{BODY}</div></div>" for name in (
+        "with-sidebar", "page has-sidebar", "share-enabled", "page-search", "sidebar", "search", "siteHeader",
+        "comments-open", "related", "notice",
+    )],
+    f"<div><div class='entry-header'>{BODY[:14]}</div><div class=entry>{BODY[14:]}</div></div>",
+    f"<form id=aspnetForm><div>{BODY}</div></form>", f"<form><article>{BODY}</article></form>",
+    f"<form><fieldset><div>{BODY}</div></fieldset><div class=sidebar><p>Side</p></div></form>",
+    f"<div title='a hidden gem' data-id=menu>{BODY}</div>",
+])
+def test_layout_around_the_text_is_no_extra(page):
+    beside = (
+        "<nav><a href=1>One</a></nav><div class='site-footer'><p>Us</p></div><div class='sidebar widget-list'><p>Side</p></div>"
+        "<div class=related-posts><p>Others</p></div><form><p>Mail</p></form><div class='cookie-bar'><p>Cookies</p></div>"
+    )
+    assert Page(f"<body>{page}{beside}</body>").main_text() == LINES
+
+
+def test_long_notices_and_comments_are_extras():
+    long = "<p>Words of others, more than the text has.</p>" * 20
+    for name in ("comments", "comment-list", "cookie-notice", "newsletter-signup"):
+        assert Page(f"<body><div>{BODY}</div><div class={name}>{long}</div></body>").main_text() == LINES
+
+
 def test_pages_of_the_table(spark, sf_dir):
     """Here every article is marked, and holds nothing else."""
     import html
