@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +16,11 @@ from papyra.llm.words import blocks
 from papyra.sources.sizes import can_broadcast
 
 # Labelled rows the machine is fitted on at most, those with the least hash of their id. Terms are
-# screened on all labelled rows.
+# counted on all labelled rows.
 TRAINING_ROWS = 20_000
-# A term takes part if at least so many labelled texts hold it, and so many standard errors more of
-# the toxic than of the others.
+# A term takes part if at least so many labelled texts hold it. How it stands in toxic texts by
+# itself does not matter, since it may only count beside another one.
 LEAST_TEXTS = 4
-LEAST_Z = 4.5
 THRESHOLD = 0.3
 _FOLDS, _HELD_OUT = 4, 2
 
@@ -60,21 +60,29 @@ def values(counts: np.ndarray) -> np.ndarray:
 def fit(
     terms: np.ndarray, counts: np.ndarray, offsets: np.ndarray, labels: np.ndarray, chosen: np.ndarray,
     rank: int = 4, epochs: int = 15, steps: int = 3000, rate: float = 0.1, shrink: float = 1e-3,
-    toxic_weight: float = 3.0, batch: int = 64, seed: int = 0,
+    toxic_weight: float = 3.0, batch: int = 64, seed: int = 0, sparse: float = 0.05, spread: float = 0.2,
 ) -> FactorizationMachine:
     """Logistic loss, AdaGrad steps over shuffled batches; ``terms`` are numbers into ``chosen``.
 
     The bias starts from the share of label 1, of which each row counts ``toxic_weight`` times,
     since a missed one costs more. There are ``epochs`` rounds at least, and as many
-    more as make up ``steps``, so that few rows are learned as well as many.
+    more as make up ``steps``, so that few rows are learned as well as many. Each step also takes
+    weights towards zero by ``sparse``, so that of many terms those that tell nothing drop out.
     """
     random = np.random.default_rng(seed)
-    linear, factors = np.zeros(len(chosen)), random.normal(0, 0.05, (len(chosen), rank))
+    linear, factors = np.zeros(len(chosen)), random.normal(0, spread, (rank, len(chosen)))
     share = min(max(labels.mean(), 1e-6), 1 - 1e-6) if len(labels) else 0.5
     bias, past_bias = float(np.log(share / (1 - share))), 1e-8
     epochs = max(epochs, -(-steps // max(1, -(-len(labels) // batch))))
-    past_linear, past_factors = np.full(len(chosen), 1e-8), np.full(factors.shape, 1e-8)
+    # First steps are not larger than those for gradients of 0.3.
+    past_linear, past_factors = np.full(len(chosen), 0.1), np.full(factors.shape, 0.1)
     order = np.arange(len(labels))
+
+    def stepped(weight: np.ndarray, slope: np.ndarray, past: np.ndarray) -> np.ndarray:
+        size = rate / np.sqrt(past)
+        moved = weight - size * slope
+        return np.sign(moved) * np.maximum(np.abs(moved) - size * sparse, 0)
+
     for _ in range(epochs):
         random.shuffle(order)
         for start in range(0, len(order), batch):
@@ -83,41 +91,35 @@ def fit(
             owner = np.repeat(np.arange(len(rows)), sizes)
             at = np.repeat(offsets[rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
             term, x = terms[at], values(counts[at])
-            each = factors[term] * x[:, None]
-            sums = np.zeros((len(rows), rank))
-            np.add.at(sums, owner, each)
-            squares = np.bincount(owner, (each**2).sum(axis=1), len(rows))
-            z = bias + np.bincount(owner, linear[term] * x, len(rows)) + ((sums**2).sum(axis=1) - squares) / 2
+            each = factors[:, term] * x
+            sums = np.stack([np.bincount(owner, one, len(rows)) for one in each])
+            squares = np.bincount(owner, (each**2).sum(axis=0), len(rows))
+            z = bias + np.bincount(owner, linear[term] * x, len(rows)) + ((sums**2).sum(axis=0) - squares) / 2
             miss = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[rows]
             miss *= np.where(labels[rows] == 1, toxic_weight, 1.0)
             pull = miss[owner] * x
             used, which = np.unique(term, return_inverse=True)
-            step = np.bincount(which, pull, len(used)) + shrink * linear[used]
-            past_linear[used] += step**2
-            linear[used] -= rate * step / np.sqrt(past_linear[used])
-            steps = np.zeros((len(used), rank))
-            np.add.at(steps, which, pull[:, None] * (sums[owner] - each))
-            steps += shrink * factors[used]
-            past_factors[used] += steps**2
-            factors[used] -= rate * steps / np.sqrt(past_factors[used])
+            slope = np.bincount(which, pull, len(used)) + shrink * linear[used]
+            past_linear[used] += slope**2
+            linear[used] = stepped(linear[used], slope, past_linear[used])
+            for f in range(rank):
+                slope = np.bincount(which, pull * (sums[f][owner] - each[f]), len(used)) + shrink * factors[f, used]
+                past_factors[f, used] += slope**2
+                factors[f, used] = stepped(factors[f, used], slope, past_factors[f, used])
             past_bias += miss.sum() ** 2
             bias -= rate * miss.sum() / np.sqrt(past_bias)
-    return FactorizationMachine(chosen, bias, linear, factors)
+    left = (linear != 0) | (factors != 0).any(axis=0)
+    return FactorizationMachine(chosen[left], bias, linear[left], factors[:, left].T)
 
 
-def _class_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts of either class that hold each term, added up over a batch."""
-    size = 1 << BITS
+def _texts_with(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts that hold each term, added up over a batch."""
     for batch in batches:
-        toxic, other = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        labels = batch["toxic"].to_numpy()
-        for first, raw in blocks(list(batch["text"])):
-            terms, _, offsets = hashed_terms(raw)
-            mark = np.repeat(labels[first : first + len(raw)] == 1, np.diff(offsets))
-            toxic += np.bincount(terms[mark], minlength=size)
-            other += np.bincount(terms[~mark], minlength=size)
-        held = np.flatnonzero(toxic + other)
-        yield pd.DataFrame({"term": held, "toxic": toxic[held], "other": other[held]})
+        texts = np.zeros(1 << BITS, np.int64)
+        for _, raw in blocks(list(batch["text"])):
+            texts += np.bincount(hashed_terms(raw)[0], minlength=1 << BITS)
+        held = np.flatnonzero(texts)
+        yield pd.DataFrame({"term": held, "texts": texts[held]})
 
 
 def train(
@@ -126,9 +128,9 @@ def train(
 ) -> FactorizationMachine:
     """A machine learned from the labelled rows outside the held-out fold.
 
-    Terms are screened by a grouped count over all labelled texts; what comes to the driver is
-    bounded by the ``2 ** BITS`` hashed terms. The machine is then fitted to the screened terms of
-    at most ``training_rows`` labelled texts. Rows without id, text or a label of 0 or 1 teach
+    Terms of fewer than ``LEAST_TEXTS`` labelled texts are left out by a grouped count; what comes
+    to the driver is bounded by the ``2 ** BITS`` hashed terms. The machine is then fitted to all
+    other terms of at most ``training_rows`` labelled texts. Rows without id, text or a label of 0 or 1 teach
     nothing; without labels of both classes every text gets the share of toxic labels (0 if none).
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
@@ -146,15 +148,10 @@ def train(
     given = given.where("text is not null")
     near = F.broadcast(marks) if can_broadcast(marks) else marks
     counted = (
-        given.join(near, "id").select("text", "toxic")
-        .mapInPandas(_class_counts, "term long, toxic long, other long")
-        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    )
-    share = (F.col("toxic") + F.col("other")) / (n_toxic + n_other)
-    spread = F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_other))
-    z = (F.col("toxic") / n_toxic - F.col("other") / n_other) / F.greatest(spread, F.lit(1e-9))
-    screened = counted.where((F.col("toxic") + F.col("other") >= LEAST_TEXTS) & (z >= LEAST_Z))
-    chosen = np.sort(np.array([row["term"] for row in screened.select("term").collect()], dtype=np.int64))
+        given.join(near, "id").select("text").mapInPandas(_texts_with, "term long, texts long")
+        .groupBy("term").agg(F.sum("texts").alias("texts"))
+    ).where(F.col("texts") >= LEAST_TEXTS)
+    chosen = np.sort(counted.select("term").toArrow()["term"].to_numpy())
     wanted = np.zeros(1 << BITS, dtype=bool)
     wanted[chosen] = True
     sample = marks.orderBy(F.xxhash64("id"), "id").limit(training_rows)
@@ -167,17 +164,18 @@ def train(
                 cut = offsets[1:-1]
                 yield pd.DataFrame({
                     "id": ids[first : first + len(raw)], "toxic": labels_of[first : first + len(raw)],
-                    "terms": np.split(terms, cut), "counts": np.split(counts, cut),
+                    "terms": np.split(terms.astype(np.int32), cut), "counts": np.split(counts.astype(np.int32), cut),
                 })
 
     rows = given.join(F.broadcast(sample), "id").select("id", "toxic", "text").mapInPandas(
-        features, "id long, toxic int, terms array<long>, counts array<long>"
-    ).toPandas().sort_values("id", kind="stable")
-    lengths = rows["terms"].map(len).to_numpy()
+        features, "id long, toxic int, terms array<int>, counts array<int>"
+    ).toArrow()
+    rows = rows.take(pc.sort_indices(rows["id"])).combine_chunks()
+    lengths = pc.list_value_length(rows["terms"]).to_numpy()
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-    terms = np.searchsorted(chosen, np.concatenate([nothing, *rows["terms"]])).astype(np.int64)
-    counts = np.concatenate([nothing, *rows["counts"]]).astype(np.float64)
-    return fit(terms, counts, offsets, rows["toxic"].to_numpy(np.float64), chosen, rank)
+    terms = np.searchsorted(chosen, pc.list_flatten(rows["terms"]).to_numpy())
+    counts = pc.list_flatten(rows["counts"]).to_numpy()
+    return fit(terms, counts, offsets, rows["toxic"].to_numpy().astype(np.float64), chosen, rank)
 
 
 def fold(id_column):

@@ -139,6 +139,31 @@ def test_pairwise_interaction_is_learned(spark):
     assert sum(found[i].predicted == label for i, label in labels if found[i].held_out) >= 0.98 * len(held)
 
 
+def test_terms_that_count_only_in_pairs(spark):
+    """Group words are as common in clean texts, and of two words that excuse an insult neither is toxic."""
+    import random
+
+    rng = random.Random(3)
+    name = lambda n: "".join(chr(97 + n // 26**k % 26) for k in (2, 1, 0)) * 2
+    insults, groups, excuses, plain = ([name(n) for n in span] for span in (
+        range(3), range(10, 22), range(30, 33), range(100, 1100)
+    ))
+    rows, labels = [], []
+    for i in range(3000):
+        kind = rng.randrange(10)
+        words = rng.choices(plain, k=40) + [rng.choice(insults)] * (kind < 4)
+        words += [rng.choice(groups)] * (kind in (0, 1) or kind > 3) + [rng.choice(excuses)] * (kind in (1, 9))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), "en", "s"))
+        labels.append((i, int(kind == 0)))
+    docs = spark.createDataFrame(rows, DOCS)
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id: r for r in toxicity.score(docs, machine).collect()}
+    held = [(found[i].predicted, label) for i, label in labels if found[i].held_out]
+    hits, toxic, said = sum(a and b for a, b in held), sum(b for _, b in held), sum(a for a, _ in held)
+    assert toxic > 50 and hits >= 0.9 * toxic and hits >= 0.9 * said
+
+
 def test_held_out_rows_of_the_table(spark):
     path = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
