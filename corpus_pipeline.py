@@ -13,7 +13,7 @@ from papyra.llm.decontaminate import decontaminate, remove_contaminated
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
-from papyra.llm.secrets import redact, scan
+from papyra.llm.secrets import scan_and_redact
 from papyra.llm.stored import stored
 from papyra.sources.sizes import can_broadcast
 
@@ -42,7 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by marks in the texts; all documents stay."""
-    return redact(docs, scan(docs))
+    return scan_and_redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def _spans(text: Column, number: int, kind: str) -> Column:
 
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-    repository_col: str = "doc_id",
+    repository_col: str = "doc_id", row_col: str | None = None,
 ) -> DataFrame:
     """``row, id_col, spans`` for each row of ``docs``.
 
@@ -76,7 +76,8 @@ def scan(
     live-looking. Long mixed strings count only if they are live-looking and overlap no other span.
 
     Null texts are empty; rows with null or repeated ids are scanned each for itself; a null owner
-    is an owner, a null repository a repository. ``row`` numbers the rows of this result.
+    is an owner, a null repository a repository. ``row`` numbers the rows of this result; it is
+    ``row_col``, where that holds a number of its own for each row of ``docs``.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = F.concat(*[_spans(F.col("_text"), i, kind) for i, kind in enumerate(BASE_KINDS)])
@@ -85,16 +86,18 @@ def scan(
     given = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
         F.coalesce(F.col(repository_col).cast("string"), F.lit("")).alias("repository"), text.alias("_text"),
+        (F.lit(None).cast("long") if row_col is None else F.col(row_col)).alias("row"),
     )
     free = lambda own, others: F.filter(
         own, lambda a: ~F.exists(others, lambda b: (a["start"] < b["stop"]) & (b["start"] < a["stop"]))
     )
     notes = (
-        given.select("id", "owner", "repository", base.alias("base"), known.alias("known"), mixed.alias("mixed"))
-        .select("id", "owner", "repository", F.concat("base", free("known", "base")).alias("sure"), "mixed")
-        .select("id", "owner", "repository", F.concat("sure", free("mixed", "sure")).alias("spans"))
-        .withColumn("row", F.monotonically_increasing_id())
+        given.select("row", "id", "owner", "repository", base.alias("base"), known.alias("known"), mixed.alias("mixed"))
+        .select("row", "id", "owner", "repository", F.concat("base", free("known", "base")).alias("sure"), "mixed")
+        .select("row", "id", "owner", "repository", F.concat("sure", free("mixed", "sure")).alias("spans"))
     )
+    if row_col is None:
+        notes = notes.withColumn("row", F.monotonically_increasing_id())
     notes = stored(notes, "secrets")
     single = notes.where(F.size("spans") > 0).select(
         "row", "owner", "repository", F.inline("spans")
@@ -132,12 +135,30 @@ def span_names(spans: Column, kinds: list[str] | None = None) -> Column:
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
-def redact(docs: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_and_redact(docs: DataFrame, text_col: str = "text", **columns: str) -> DataFrame:
+    """``docs`` with the spans of a scan (given ``columns``) replaced, each row for itself.
+
+    Rows are numbered and stored first, so that rows with null or repeated ids meet their own spans.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    scanned = scan(numbered, text_col=text_col, row_col=row, **columns)
+    return redact(numbered, scanned, text_col=text_col, row_col=row).select(docs.columns)
+
+
+def redact(
+    docs: DataFrame, scanned: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
     """``docs`` with every span replaced: ``<secret>`` if live-looking, else ``<example>``.
 
-    Overlapping spans are replaced as one, which is a secret if one of them is. Ids must be unique;
-    rows without an id are left as they are.
+    Overlapping spans are replaced as one, which is a secret if one of them is. Rows find their
+    spans by ``row_col``, the one given to ``scan``. Without it they do by id, which must then be
+    unique, and rows without an id are left as they are.
     """
+    if row_col is not None:
+        id_col, scanned = row_col, scanned.select(F.col("row").alias(row_col), "spans")
     found = scanned.where((F.size("spans") > 0) & F.col(id_col).isNotNull()).select(
         id_col, F.array_join(F.transform("spans", lambda s: F.concat_ws(
             ":", s["start"], s["stop"], F.when(s["live"], 1).otherwise(0)

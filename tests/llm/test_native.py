@@ -187,3 +187,21 @@ def test_ownership_parts_copied_examples_from_live_secrets(make):
     clean = {r.doc_id: r.text for r in secrets.redact(make(rows), secrets.scan(make(rows))).collect()}
     assert clean[0] == "<example> here" and clean[10] == "<secret> and <secret> end"
     assert clean[20] == rows[7][1]
+
+
+def test_secrets_of_null_and_repeated_ids_are_redacted_once(make, spark, monkeypatch):
+    import corpus_pipeline
+
+    key = "password = Abc123def456ghi"
+    texts = [(1, f"a {key} b"), (1, f"a {key} b"), (1, f"longer before {key}"), (1, "nothing"),
+             (None, f"x {key}"), (None, f"{key} x"), (None, None), (2, "")]
+    clean = [(1, "a <secret> b"), (1, "a <secret> b"), (1, "longer before <secret>"), (1, "nothing"),
+             (None, "x <secret>"), (None, "<secret> x"), (None, None), (2, "")]
+    docs = make([(n, text, "en", "s") for n, text in texts]).withColumn("_row", F.lit("z"))
+    for broadcast in (True, False):
+        monkeypatch.setattr(secrets, "can_broadcast", lambda df: broadcast)
+        found = corpus_pipeline.secrets(spark, docs, None)
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, clean))
+        assert all(r._row == "z" for r in rows)
