@@ -198,15 +198,18 @@ class _Best:
     def add(self, ids: pa.Array, row: np.ndarray, query: np.ndarray, score: np.ndarray) -> None:
         """Take the matches of a batch of documents, and its zeros where matches are few."""
         order = pc.sort_indices(ids).to_numpy().astype(np.int64)
-        enough = np.zeros(self.queries, dtype=np.int64)
+        # The zeros of this batch add nothing where the last row kept is a match, or a zero of a lower id.
+        full = np.zeros(self.queries, dtype=bool)
         if self.table is not None:
-            kept = self.table["query"].to_numpy()[self.table["score"].to_numpy() >= 0]
-            enough = np.bincount(kept, minlength=self.queries)
+            of, kept = self.table["query"].to_numpy(), self.table["score"].to_numpy()
+            last = np.arange(len(of)) - np.searchsorted(of, of) == self.num_results - 1
+            lower = pc.fill_null(pc.less(self.table["doc_id"], pc.min(ids)), False).to_numpy()
+            full[of[last & ((kept > 0) | (kept == 0) & lower)]] = True
         by_query = np.argsort(query, kind="stable")
         rows_of = row[by_query]
         starts = np.searchsorted(query[by_query], np.arange(self.queries + 1))
         more_row, more_query = [row], [query]
-        for short in np.flatnonzero(enough < self.num_results):
+        for short in np.flatnonzero(~full):
             matched = np.zeros(len(ids), dtype=bool)
             matched[rows_of[starts[short] : starts[short + 1]]] = True
             zeros = order[~matched[order]][: self.num_results]

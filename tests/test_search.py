@@ -131,6 +131,37 @@ def test_batch_equals_single_searches(spark, corpus, index, docs, small, monkeyp
         assert [m[1:] for m in mine] == [tuple(r) for r in single]
 
 
+@pytest.mark.parametrize("ids", [[7, 8, 9, 4, 5, 6, 1, 2, 3], [1, 2, 3, 4, 5, 6, 7, 8, 9], list("gihfdeabc")])
+def test_zeros_of_later_batches_have_lower_ids(ids):
+    ids_of = s.pa.array(ids)
+    best = s._Best(3, 3)
+    for start in (0, 3, 6):
+        # The second document of each batch matches query 2, that of the second batch query 0.
+        hits = [0, 2] if start == 3 else [2]
+        best.add(ids_of.slice(start, 3), s.np.array([1] * len(hits)), s.np.array(hits), s.np.array([2.0] * len(hits)))
+    found = [(r["query"], r["doc_id"], r["score"]) for r in best.table.to_pylist()]
+    hit, low = ids[4], sorted(ids)
+    assert [r[1:] for r in found if r[0] == 0] == [(hit, 2.0)] + [(i, 0.0) for i in low if i != hit][:2]
+    assert [r[1:] for r in found if r[0] == 1] == [(i, 0.0) for i in low[:3]]
+    assert [r[1:] for r in found if r[0] == 2] == [(i, 2.0) for i in sorted(ids[1::3])]
+
+
+def test_batch_over_small_arrow_batches_in_descending_order(spark, corpus, index, docs):
+    import dataclasses
+
+    turned = dataclasses.replace(index, documents=index.documents.coalesce(1).sortWithinPartitions(F.desc("doc_id")))
+    texts = {1: "unseen", 2: "w39", 3: "hot w1"}
+    queries = spark.createDataFrame(list(texts.items()), "qid long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = s.batch_topk(turned, corpus, queries, 12).orderBy("qid", "rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for qid, text in texts.items():
+        got = [(r["doc_id"], pytest.approx(r["score"], abs=1e-9)) for r in rows if r["qid"] == qid]
+        assert got == best(okapi(docs, text.split()), 12)
+
+
 def test_negative_weights(spark, tmp_path):
     """Words in most documents can make scores negative, which then rank below zero."""
     docs = {0: ["aa", "bb"], 1: ["aa", "bb", "bb"], 2: ["aa"], 3: ["aa", "cc"], 4: ["cc", "bb"],
