@@ -43,7 +43,8 @@ class Encoder:
         self._encoding = tiktoken.Encoding(
             "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        #: How many bytes of text each id stands for.
+        #: The bytes that each id stands for, and how many they are.
+        self.pieces = {rank: piece for piece, rank in ranks.items()}
         self.token_bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for piece, rank in ranks.items():
             self.token_bytes[rank] = len(piece)
@@ -56,8 +57,11 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._encoding.encode_ordinary(text), dtype="<u4")
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """The ids of each text, whole; special tokens' strings are ordinary text."""
+    def encode(self, texts: Sequence[str], spaced: bool = False) -> list[np.ndarray]:
+        """The ids of each text, whole; special tokens' strings are ordinary text.
+
+        With ``spaced``, those of the text after one more space.
+        """
         result: list[np.ndarray | None] = [None] * len(texts)
         block, size = [], 0
         for place, text in enumerate(texts):
@@ -66,19 +70,19 @@ class Encoder:
                 or _WIDE_SPACE.search(text) or "  " in text or "\n " in text or "\t " in text
                 or "\r " in text or "\x0b " in text or "\x0c " in text
             ):
-                result[place] = self._whole(text)
+                result[place] = self._whole(" " + text if spaced else text)
                 continue
             raw = text.encode()
             if block and size + len(raw) > _BLOCK_BYTES:
-                self._encode_block(block, result)
+                self._encode_block(block, result, spaced)
                 block, size = [], 0
             block.append((place, raw))
             size += len(raw)
         if block:
-            self._encode_block(block, result)
+            self._encode_block(block, result, spaced)
         return result
 
-    def _encode_block(self, block: list[tuple[int, bytes]], result: list) -> None:
+    def _encode_block(self, block: list[tuple[int, bytes]], result: list, spaced: bool) -> None:
         if len(self._known) > REMEMBERED:
             self._forget()
         joined = b" ".join(raw for _, raw in block) + b" "
@@ -89,14 +93,15 @@ class Encoder:
         text_ends = np.cumsum([len(raw) + 1 for _, raw in block])
         first_chunk = np.concatenate(([0], np.searchsorted(ends, text_ends - 1) + 1))
         hashes = byte_hashes(letters, starts, lengths)
-        hashes[first_chunk[:-1]] ^= np.uint64(0x5851F42D4C957F2D)
+        if not spaced:
+            hashes[first_chunk[:-1]] ^= np.uint64(0x5851F42D4C957F2D)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
         if not self._same(letters, starts, lengths, one[which]):
             for place, raw in block:
-                result[place] = self._whole(raw.decode())
+                result[place] = self._whole((b" " * spaced + raw).decode())
             return
         heads = np.zeros(len(starts), dtype=bool)
-        heads[first_chunk[:-1]] = True
+        heads[first_chunk[:-1]] = not spaced
         chunks = [
             (b"" if head else b" ") + joined[start:end]
             for start, end, head in zip(starts[one].tolist(), ends[one].tolist(), heads[one].tolist())

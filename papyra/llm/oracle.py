@@ -215,4 +215,58 @@ from docs left join listed using (r)
 """
 
 
-ORACLE = {"op1_quality_rules": OP1, "op2_license_scans": op2(TEMPLATES), "op5_benchmark_decontamination": OP5, "op9_secret_scans": OP9}
+OP11 = r"""
+with words as (
+  select 'd' as side, row_number() over () as r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+  union all
+  select 't', row_number() over (), null, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark
+), crc_table as (
+  select list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from (select unnest(range(256)) as i)
+), terms as (
+  select side, r, w, count(*) as n from (select side, r, unnest(ws) as w from words) group by all
+), hexed as (
+  select w, hex(w) as h, strlen(w) as size, t from (select distinct w from terms), crc_table
+), bucketed as (
+  select w, xor(list_reduce(list_prepend(4294967295, list_transform(range(size), lambda i:
+      instr('123456789ABCDEF', h[2 * i + 1]) * 16 + instr('123456789ABCDEF', h[2 * i + 2]))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 as bucket
+  from hexed
+), counts as (
+  select bucket, sum(case when side = 'd' then n else 0 end) as s, sum(case when side = 't' then n else 0 end) as t
+  from terms join bucketed using (w) group by bucket
+), sums as (
+  select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counts
+), gains as (
+  select bucket, cast(floor(1000 * ln((t + 1)::double * (all_s + 10000)::double
+    / ((s + 1)::double * (all_t + 10000)::double))) as bigint) as gain from counts, sums
+), weights as (
+  select r, sum(n * gain) as weight from terms join bucketed using (w) join gains using (bucket)
+  where side = 'd' group by r
+), scored as (
+  select words.r, doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(weight, 0) as bigint) as weight,
+    list_reduce(list_prepend(0, list_transform(range(1, 9), lambda i:
+      instr('123456789abcdef', sha256('2024:' || coalesce(doc_id::varchar, ''))[i]))), lambda x, y: x * 16 + y) as h
+  from words left join weights on weights.r = words.r where side = 'd'
+), noisy as (
+  select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score
+  from scored
+), placed as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last) as place,
+    10 * count(case when n_words >= 20 then 1 end) over () // 100 as drawn
+  from noisy
+)
+select doc_id, n_words as n_features, weight, score,
+  cast(case when n_words >= 20 and place <= drawn then place end as bigint) as rank, n_words
+from placed
+"""
+
+ORACLE = {
+    "op1_quality_rules": OP1, "op2_license_scans": op2(TEMPLATES), "op5_benchmark_decontamination": OP5,
+    "op9_secret_scans": OP9, "op11_importance_resampling": OP11,
+}

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.llm.alignment import align, with_support
 from papyra.llm.decontaminate import decontaminate
 from papyra.llm.html_text import extract_text
+from papyra.llm.importance import resample
 from papyra.llm import licences
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.oracle import ORACLE
 from papyra.llm.packing import pack
+from papyra.llm.pieces import decode_pieces, encode_pieces
 from papyra.llm.quality_classifier import classify
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import BASE_KINDS, scan, span_names
@@ -92,6 +95,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_pieces(encode_pieces(_table(spark, sf_dir, "documents"))).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run_of(ids: str, cuts: str, place: Column) -> Column:
+        start = F.when(place > 0, F.get(cuts, place - 1)).otherwise(0)
+        return F.array_join(F.slice(ids, start + 1, F.get(cuts, place) - start), ",")
+
+    groups = F.transform("a_cuts", lambda _, k: F.concat(run_of("a", "a_cuts", k), F.lit("|"), run_of("b", "b_cuts", k)))
+    text = F.array_join(groups, ";")
+    n_links = F.size("links").cast("long")
+    aligned = align(_table(spark, sf_dir, "documents")).select(
+        "*", F.col("a_ids").cast("array<string>").alias("a"), F.col("b_ids").cast("array<string>").alias("b")
+    ).select(
+        "doc_id", F.size("a_ids").cast("long").alias("n_a"), F.size("b_ids").cast("long").alias("n_b"),
+        F.size("a_cuts").cast("long").alias("n_groups"), n_links.alias("n_links"), "links",
+        F.when(n_links > 0, F.sha2(text, 256)).otherwise("").alias("groups_sha256"),
+    )
+    return with_support(aligned)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scans": op2_license_scans,
@@ -103,6 +135,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_toxicity": op10_toxicity,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
