@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from papyra.llm.batches import list_column, text_slices
 from papyra.llm.bpe import Encoder
@@ -55,19 +55,46 @@ def common_ends(a_ends: Sequence[np.ndarray], b_ends: Sequence[np.ndarray]) -> t
     return documents, a_linked[order] - a_starts[documents], b_linked[order] - b_starts[documents]
 
 
+class _GroupText:
+    """Groups as a text, put together from the ids' numbers with the sign that follows each."""
+
+    def __init__(self, a_size: int, b_size: int):
+        self._size = max(a_size, b_size)
+        numbers = list(map(str, range(self._size)))
+        # An id inside its side of a group, the last of A's side, the last of B's, the last of all.
+        self._shown = [number + sign for sign in (",", "|", ";", "") for number in numbers]
+
+    def __call__(self, a_ids: np.ndarray, b_ids: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> str:
+        if not len(a_last):
+            return ""
+        a, b = a_ids.astype(np.int64), b_ids.astype(np.int64)
+        a[a_last] += self._size
+        b[b_last] += 2 * self._size
+        b[-1] += self._size
+        # Before an id of A stand the ids of B of all groups before its own; before one of B, those
+        # of A of the groups up to its own.
+        a_groups = np.searchsorted(a_last, np.arange(len(a)))
+        b_groups = np.searchsorted(b_last, np.arange(len(b)))
+        shown = np.zeros(len(a) + len(b), dtype=np.int64)
+        shown[np.arange(len(a)) + np.concatenate(([0], b_last + 1))[a_groups]] = a
+        shown[np.arange(len(b)) + (a_last + 1)[b_groups]] = b
+        return "".join(map(self._shown.__getitem__, shown.tolist()))
+
+
 def align(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a_vocabulary: str | None = None, b_vocabulary: str | None = None,
 ) -> DataFrame:
-    """``id_col, a_ids, b_ids, a_cuts, b_cuts, links`` for each row of ``docs``.
+    """``id_col, a_ids, b_ids, a_cuts, b_cuts, links, groups`` for each row of ``docs``.
 
     A space and the text are encoded by the byte-level vocabulary A (a rank file), the text by the
     piece model B, which puts the space there itself. ``a_cuts`` and ``b_cuts`` count the tokens
     before each byte offset at which tokens of both end: what lies between two cuts is a group. Two
     tokens are linked where they end together, so each cut ends one group and makes one link, given
-    in ``links`` as A's id times ``PAIR`` plus B's.
+    in ``links`` as A's id times ``PAIR`` plus B's. ``groups`` shows the groups as a text,
+    ``a1,a2|b1;a3|b2``.
 
-    All arrays are empty where the text is null or empty, or where the bytes of either side's tokens
+    All arrays and that text are empty where the text is null or empty, or where the bytes of either side's tokens
     are not those of the space and the text (B shows U+2581 as a space). Null and repeated ids are
     kept, each row for itself; no documents, no rows. Texts are whole; each is aligned in the task
     that reads it, many in lockstep.
@@ -75,10 +102,10 @@ def align(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_side, b_side = Encoder(a_vocabulary), piece_model(b_vocabulary)
-        nothing = np.zeros(0, dtype=np.int32)
+        nothing, show = np.zeros(0, dtype=np.int32), _GroupText(len(a_side.token_bytes), len(b_side.token_bytes))
         for part in text_slices(batches, 1, _SLICE_BYTES, _SLICE_ROWS):
             texts = [text or "" for text in part.column(1).to_pylist()]
-            a_ids, b_ids = a_side.encode(texts, spaced=True), list(map(b_side.encode, texts))
+            a_ids, b_ids = a_side.encode(texts, spaced=True), b_side.encode(texts)
             for place, text in enumerate(texts):
                 raw = b" " + text.encode()
                 if not text or not (
@@ -99,15 +126,16 @@ def align(
             lists = [list_column(x, pa.int32()) for x in (
                 a_ids, b_ids, [i + 1 for i in a_linked], [j + 1 for j in b_linked],
             )]
+            texts = [show(*one) for one in zip(a_ids, b_ids, a_linked, b_linked)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *lists, list_column(links, pa.int64())], names=names
+                [part.column(0), *lists, list_column(links, pa.int64()), pa.array(texts, pa.string())], names=names
             )
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     whole = ArrayType(IntegerType())
     schema = StructType(
         [given.schema["id"]] + [StructField(name, whole) for name in ("a_ids", "b_ids", "a_cuts", "b_cuts")]
-        + [StructField("links", ArrayType(LongType()))]
+        + [StructField("links", ArrayType(LongType())), StructField("groups", StringType())]
     )
     names = schema.names
     return given.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -25,26 +25,25 @@ from papyra.llm.batches import list_column, text_slices
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-# Chunks and pairs that a worker remembers; a longer chunk is not remembered.
-_CHUNKS, _CHUNK_LENGTH, _PAIRS = 300_000, 48, 1_000_000
+# Chunks, their characters and pairs that a worker remembers; longer chunks are encoded alone.
+_CHUNKS, _CHARACTERS, _PAIRS, _CHUNK_LENGTH = 500_000, 16_000_000, 1_000_000, 48
+# Slots of the table in which pairs are looked up many at a time.
+_SLOTS = 1 << 20
 # A text that normalisation would change.
 _PROBE = "  ﬁ\t "
 
 
-class _Chunks(dict):
-    """Token ids of each chunk, worked out when it is first met."""
+class _Numbers(dict):
+    """Number of each chunk, given when it is first met; ``fresh`` lists those since it was emptied."""
 
-    def __init__(self, encode):
-        super().__init__()
-        self._encode = encode
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        found = self._encode(chunk)
-        if len(chunk) <= _CHUNK_LENGTH:
-            if len(self) >= _CHUNKS:
-                self.clear()
-            self[chunk] = found
-        return found
+    def __init__(self, chunks: Sequence[str] = ()):
+        super().__init__(zip(chunks, range(len(chunks))))
+        self.fresh: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.fresh.append(chunk)
+        return number
 
 
 class _Pairs(dict):
@@ -94,16 +93,42 @@ class PieceModel:
         self.byte_lengths = np.array([len(raw) for raw in self.token_bytes], dtype=np.int64)
         self._automaton = ahocorasick.Automaton()
         for piece, number in self._ids.items():
-            self._automaton.add_word(piece, (number, len(piece)))
+            self._automaton.add_word(piece, number)
         self._automaton.make_automaton()
+        self._piece_lengths = np.array([len(piece) for piece in self._pieces], dtype=np.int64)
         self._known_characters = {c for piece in self._ids for c in piece}
         if not self._known_characters <= self._ids.keys():
             raise ValueError("every character of a piece must be a piece")
-        # No piece goes on with a space after another character, so none crosses these bounds.
+        # No piece goes on with a space after another character, or holds a line end that is no
+        # piece itself, so none crosses these bounds.
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in self._ids)
-        self._chunk = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*")
+        lines = "".join(c for c in "\t\n\r" if c not in self._known_characters)
+        inside = f"[^{SPACE}{lines}]"
+        self._chunk = re.compile("(?s).+" if crossing else f"{SPACE}+{inside}*|{inside}+|(?s:.)")
         self._compatible = _Pairs(self._pair_holds)
-        self._encoded = _Chunks(self._encode_chunk)
+        self._slot_pairs, self._slot_holds = np.full(_SLOTS, -1, dtype=np.int64), np.zeros(_SLOTS, dtype=bool)
+        self._numbers, self._characters = _Numbers(), 0
+        self._flat, self._lengths = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        self._met = np.zeros(0, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Keeps only the chunks that were met more than once since the last time, if they are few."""
+        kept = np.flatnonzero(self._met > 1)
+        names = list(self._numbers)
+        names = [names[number] for number in kept.tolist()]
+        self._characters = sum(map(len, names))
+        if len(kept) > _CHUNKS // 2 or self._characters > _CHARACTERS // 2:
+            kept, names, self._characters = kept[:0], [], 0
+        self._flat, self._lengths = self._ids_of(kept), self._lengths[kept]
+        self._numbers, self._met = _Numbers(names), np.zeros(len(kept), dtype=np.int64)
+
+    def _ids_of(self, numbers: np.ndarray) -> np.ndarray:
+        """Ids of the chunks with these numbers in a row."""
+        counts = self._lengths[numbers]
+        begins = (np.cumsum(self._lengths) - self._lengths)[numbers]
+        stops = np.cumsum(counts)
+        total = int(stops[-1]) if len(stops) else 0
+        return self._flat[np.arange(total) + np.repeat(begins - (stops - counts), counts)]
 
     def _merged(self, text: str) -> list[str]:
         """Plain BPE of a short text: the best-scored pair is joined first, the left one of equals."""
@@ -128,16 +153,17 @@ class PieceModel:
         All characters must be known.
         """
         compatible, table, filled = self._compatible, [], 0
-        for end, (token, length) in self._automaton.iter(text):
+        for end, token in self._automaton.iter(text):
             if end < filled:
                 continue
-            start = end + 1 - length
+            start = end + 1 - len(self._pieces[token])
             if compatible[table[start - 1][0] if start else -1, token]:
                 table.append((token, start))
                 filled += 1
         return table
 
-    def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
+    def _encode_one(self, chunk: str) -> list[int]:
+        """Ids of one chunk of any length; no merge takes part in an unknown character."""
         ids: list[int] = []
         start = 0
         for place in [i for i, c in enumerate(chunk) if c not in self._known_characters] + [len(chunk)]:
@@ -148,14 +174,94 @@ class PieceModel:
             ids += found[::-1]
             ids += [self._bytes[value] for value in chunk[place : place + 1].encode()]
             start = place + 1
-        return tuple(ids)
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text, without begin and end."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        chunks = self._chunk.findall(SPACE + text.replace(" ", SPACE))
-        return np.array(list(chain.from_iterable(map(self._encoded.__getitem__, chunks))), dtype=np.int32)
+        return ids
+
+    def _holds(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``_compatible`` for many pairs; those met lately are found without leaving the arrays."""
+        size = len(self._pieces) + 1
+        pair = (before + 1) * size + token
+        slot = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64) % _SLOTS
+        missing = np.unique(pair[self._slot_pairs[slot] != pair])
+        holds = self._slot_holds[slot]
+        if len(missing):
+            found = np.array([self._compatible[x // size - 1, x % size] for x in missing.tolist()], dtype=bool)
+            fresh = self._slot_pairs[slot] != pair
+            holds[fresh] = found[np.searchsorted(missing, pair[fresh])]
+            self._slot_pairs[slot[fresh]], self._slot_holds[slot[fresh]] = pair[fresh], holds[fresh]
+        return holds
+
+    def _encode_many(self, chunks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``chunks`` in a row, and how many each has; all characters must be known.
+
+        One run of the automaton finds the matches of all chunks. The tables of last tokens are then
+        filled for all of them at once, by the end of the match inside its chunk, and so are the
+        ways back.
+        """
+        if not chunks:
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        joined = "\0".join(chunks)
+        found = np.fromiter(chain.from_iterable(self._automaton.iter(joined)), dtype=np.int64).reshape(-1, 2)
+        end, token = found[:, 0], found[:, 1]
+        start = end + 1 - self._piece_lengths[token]
+        sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
+        stops = np.cumsum(sizes + 1) - 1
+        begins = stops - sizes
+        head = begins[np.searchsorted(stops, end)]
+        order = np.arange(len(end))
+        choice = order - np.maximum.accumulate(np.where(np.diff(end, prepend=-1) > 0, order, 0))
+        wave = ((end - head) * (int(choice.max()) + 1) + choice).astype(np.uint16)
+        order = np.argsort(wave, kind="stable")
+        last, back = np.full(len(joined), -1, dtype=np.int64), np.zeros(len(joined), dtype=np.int64)
+        for matches in np.split(order, np.flatnonzero(np.diff(wave[order])) + 1):
+            matches = matches[last[end[matches]] < 0]
+            first = start[matches]
+            before = np.where(first == head[matches], -1, last[first - 1])
+            matches = matches[self._holds(before, token[matches])]
+            last[end[matches]], back[end[matches]] = token[matches], start[matches]
+        which, place = np.arange(len(chunks)), stops.copy()
+        counts, steps = np.zeros(len(chunks), dtype=np.int64), []
+        while len(which):
+            steps.append((which, last[place - 1]))
+            counts[which] += 1
+            place = back[place - 1]
+            going = place > begins[which]
+            which, place = which[going], place[going]
+        ids = np.zeros(counts.sum(), dtype=np.int32)
+        ends = np.cumsum(counts)
+        for step, (which, tokens) in enumerate(steps):
+            ids[ends[which] - 1 - step] = tokens
+        return ids, counts
+
+    def _learn(self) -> None:
+        """Encodes the chunks that have just got a number."""
+        chunks, known = self._numbers.fresh, self._known_characters
+        short = np.array([len(c) <= _CHUNK_LENGTH and known.issuperset(c) for c in chunks])
+        counts = np.zeros(len(chunks), dtype=np.int64)
+        ids, counts[short] = self._encode_many([c for c, many in zip(chunks, short.tolist()) if many])
+        if not short.all():
+            alone = [self._encode_one(chunks[place]) for place in np.flatnonzero(~short).tolist()]
+            counts[~short] = list(map(len, alone))
+            together, ids = ids, np.zeros(counts.sum(), dtype=np.int32)
+            from_many = np.repeat(short, counts)
+            ids[from_many], ids[~from_many] = together, list(chain.from_iterable(alone))
+        self._flat, self._lengths = np.concatenate((self._flat, ids)), np.concatenate((self._lengths, counts))
+        self._met = np.concatenate((self._met, np.zeros(len(chunks), dtype=np.int64)))
+        self._characters += sum(map(len, chunks))
+        self._numbers.fresh = []
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each whole text, without begin and end; a chunk that repeats is encoded once."""
+        if len(self._numbers) > _CHUNKS or self._characters > _CHARACTERS:
+            self._forget()
+        parts = [self._chunk.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        sizes = np.array([len(part) for part in parts], dtype=np.int64)
+        met = map(self._numbers.__getitem__, chain.from_iterable(parts))
+        numbers = np.fromiter(met, dtype=np.int64, count=sizes.sum())
+        if self._numbers.fresh:
+            self._learn()
+        self._met += np.bincount(numbers, minlength=len(self._met))
+        bounds = np.concatenate(([0], np.cumsum(self._lengths[numbers])))[np.cumsum(sizes)]
+        return np.split(self._ids_of(numbers), bounds[:-1])
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ``ids``: bytes in a row are read as UTF-8, the space put before a text goes."""
@@ -211,7 +317,7 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(vocabulary)
         for part in text_slices(batches):
-            ids = [model.encode(text or "") for text in part.column(1).to_pylist()]
+            ids = model.encode([text or "" for text in part.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([part.column(0), list_column(ids, pa.int32())], names=["id", "ids"])
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

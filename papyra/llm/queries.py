@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.llm.alignment import align, with_support
@@ -107,19 +107,12 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run_of(ids: str, cuts: str, place: Column) -> Column:
-        start = F.when(place > 0, F.get(cuts, place - 1)).otherwise(0)
-        return F.array_join(F.slice(ids, start + 1, F.get(cuts, place) - start), ",")
-
-    groups = F.transform("a_cuts", lambda _, k: F.concat(run_of("a", "a_cuts", k), F.lit("|"), run_of("b", "b_cuts", k)))
-    text = F.array_join(groups, ";")
-    n_links = F.size("links").cast("long")
+    n = {name: F.size(column).cast("long") for name, column in (
+        ("n_a", "a_ids"), ("n_b", "b_ids"), ("n_groups", "a_cuts"), ("n_links", "links"),
+    )}
     aligned = align(_table(spark, sf_dir, "documents")).select(
-        "*", F.col("a_ids").cast("array<string>").alias("a"), F.col("b_ids").cast("array<string>").alias("b")
-    ).select(
-        "doc_id", F.size("a_ids").cast("long").alias("n_a"), F.size("b_ids").cast("long").alias("n_b"),
-        F.size("a_cuts").cast("long").alias("n_groups"), n_links.alias("n_links"), "links",
-        F.when(n_links > 0, F.sha2(text, 256)).otherwise("").alias("groups_sha256"),
+        "doc_id", *[column.alias(name) for name, column in n.items()], "links",
+        F.when(n["n_a"] > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
     )
     return with_support(aligned)
 
