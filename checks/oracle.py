@@ -331,6 +331,9 @@ def oracle() -> dict[str, str]:
             from papers"""),
         "write_read_roundtrip": with_(PAPERS, select=ALL_PAPERS),
         "multi_path_scan": with_(PAPERS, select="select doc_id, title, abstract, url from papers"),
+        "multi_header_scan": with_(PAPERS, select="""select cast(doc_id as varchar) as doc_id, title, abstract,
+            case when doc_id % 3 < 2 then url end as url,
+            case when doc_id % 3 = 2 then publish_time end as publish_time from papers"""),
         "register_table": with_(PAPERS, select=ALL_PAPERS),
         "read_table_limit": with_(PAPERS, select=ALL_PAPERS + " order by doc_id limit 100"),
         "sample_papers": with_(PAPERS, select="""select doc_id, title from papers

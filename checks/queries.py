@@ -92,6 +92,22 @@ def multi_path_scan(spark, sf_dir):
     return read_files(spark, paths, "parquet")
 
 
+@query
+def multi_header_scan(spark, sf_dir):
+    """Papers in three CSV folders, whose headers differ in order and number of columns."""
+    options = {"header": True, "multiLine": True, "escape": '"', "nullValue": "NULL", "emptyValue": ""}
+    papers, paths = t.papers(spark, sf_dir), []
+    for third, columns in enumerate((
+        ("doc_id", "title", "abstract", "url"), ("url", "abstract", "doc_id", "title"),
+        ("abstract", "publish_time", "doc_id", "title"),
+    )):
+        paths.append(scratch_path(spark, "papers"))
+        part = papers.filter(F.col("doc_id") % 3 == third).select(*columns)
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quoteAll": True}
+        part.write.options(**options, **keep).csv(paths[-1])
+    return read_files(spark, paths, "csv", **options).select("doc_id", "title", "abstract", "url", "publish_time")
+
+
 def _registered(spark, sf_dir, name):
     path = scratch_path(spark, name)
     write_files(t.papers(spark, sf_dir), path)

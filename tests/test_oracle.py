@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
+from checks.oracle import oracle
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +14,8 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(oracle())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -20,7 +23,6 @@ def test_entry(spark):
     assert result.count() > 0 and "covid_related" in result.columns
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    result = contract.queries()[name](spark, sf_dir)
-    assert difference(result, duck, contract.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), duck, oracle()[name]) is None

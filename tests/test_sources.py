@@ -3,7 +3,7 @@
 import pytest
 
 from papyra.plans import job
-from papyra.sources.files import read_files, write_files
+from papyra.sources.files import header_groups, read_files, write_files
 from papyra.sources.scratch import scratch_path
 from papyra.sources.tables import read_table, register_table
 
@@ -39,6 +39,32 @@ def test_many_paths_and_schema(spark, tmp_path):
     assert read_files(spark, str(tmp_path), "csv", schema=schema).count() == 3
 
 
+def test_files_with_unlike_headers_keep_their_own_names(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("title,abstract,url\nT1,A1,U1\n")
+    (tmp_path / "b[1].csv").write_text("abstract,title,url\r\nA2,T2,U2\r\n")
+    (tmp_path / "c.csv").write_text('url,more,title\nU3,"M,3",T3\n')
+    (tmp_path / "d.csv").write_text("title,abstract,url\nT4,A4,U4\n")
+    (tmp_path / "e.csv").write_text("")
+    df = read_files(spark, str(tmp_path), "csv")
+    assert sorted(df.columns) == ["abstract", "more", "title", "url"]
+    found = sorted(tuple(r[c] for c in ("title", "abstract", "url", "more")) for r in df.collect())
+    assert found == [("T1", "A1", "U1", None), ("T2", "A2", "U2", None), ("T3", None, "U3", "M,3"), ("T4", "A4", "U4", None)]
+    assert [len(files) for files in header_groups(spark, [str(tmp_path)])] == [1, 2, 1]
+    part = read_files(spark, str(tmp_path), "csv", "url string, abstract string, day date")
+    assert part.columns == ["url", "abstract", "day"]
+    assert sorted(map(tuple, part.collect()), key=repr)[2] == ("U3", None, None)
+    assert read_files(spark, str(tmp_path / "e.csv"), "csv", "a string").collect() == []
+
+
+def test_header_groups_read_only_first_lines_in_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("papyra.sources.files.HEADER_TASKS", 3)
+    for number in range(10):
+        names = ["title", "abstract"][:: 1 if number % 3 else -1]
+        (tmp_path / f"{number}.csv").write_text(",".join(names) + "\n" + "".join(f"{n},{n}\n" for n in range(50)))
+    assert sorted(map(len, header_groups(spark, [str(tmp_path)]))) == [4, 6]
+    assert read_files(spark, str(tmp_path), "csv").count() == 500
+
+
 def test_write_replaces(spark, tmp_path):
     path = str(tmp_path / "out")
     write_files(spark.range(5), path)
