@@ -1,8 +1,9 @@
 """BM25 (Okapi) as tables.
 
-``documents(doc_id, dl, terms)`` has a row per document, ``postings(bucket, term, doc_id, tf, dl)``
-a row per term and document, ``terms(bucket,
-term, df, cf, raw_idf)`` a row per term, and ``stats(n, avgdl, mean_idf)`` one row.
+``documents(doc_id, dl, terms)`` has a row per document, ``postings(bucket, term, doc_id, tf, dl,
+block)`` a row per term and document, ``blocks(bucket, term, block, n, max_tf, min_dl)`` a row per
+run of a term's postings, ``terms(bucket, term, df, cf, raw_idf)`` a row per term, and
+``stats(n, avgdl, mean_idf)`` one row.
 ``bucket`` is a hash of the term: tables are stored by it, so that a search reads only the
 folders of its own terms.
 """
@@ -19,11 +20,14 @@ from papyra.functions import fixed_values as fixed
 from papyra.functions.text import term_counts, tokenize
 
 BUCKETS = 64
+# Postings of a block, as a power of two: rows that follow each other in a stored file.
+BLOCK_BITS = 10
 
 
 @dataclasses.dataclass(frozen=True)
 class Bm25Index:
     postings: DataFrame
+    blocks: DataFrame
     documents: DataFrame
     terms: DataFrame
     stats: DataFrame
@@ -87,6 +91,17 @@ def bm25_postings(
     return document_postings(bm25_documents(corpus, text_column, id_column, stop_words), buckets)
 
 
+def posting_blocks(postings: DataFrame) -> DataFrame:
+    """A row per block of a term: its postings, the highest frequency and the least length.
+
+    No posting of the block adds more to a score than one with these two would, whatever the mean
+    length and the weight of the term are.
+    """
+    return postings.groupBy("bucket", "term", "block").agg(
+        F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")
+    )
+
+
 def bm25_terms(postings: DataFrame, num_docs: int | Column) -> DataFrame:
     """A row per term: documents, occurrences and the logarithmic weight before its floor."""
     n = F.lit(num_docs)

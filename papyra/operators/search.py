@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
@@ -21,6 +21,8 @@ PUSHED_IDS = 1_000
 # Sums of doubles depend on the order of addition. Scores are ranked to this many decimals, so
 # that equal ones stay equal and the tie goes to the lower id.
 RANK_DECIMALS = 9
+# Bounds and scores that differ by less than rounding may are taken for equal.
+SLACK = 1e-6
 
 
 def query_terms(queries: DataFrame, index: Bm25Index) -> DataFrame:
@@ -38,28 +40,41 @@ def query_weights(index: Bm25Index, wanted: DataFrame, terms: DataFrame) -> Data
     )
 
 
-def score_parts(index: Bm25Index, query_text: str, flag: str | None = None) -> DataFrame:
-    """``(doc_id, part)``: what each word of a query adds to the score of each document.
+def query_words(index: Bm25Index, query_text: str) -> DataFrame:
+    """``(bucket, term, weight)`` of the words of one query text that the index holds.
 
-    The words are known before planning and go into the filters of both index tables: the bucket
-    picks the folders and the term the files and row groups, which lie in the order of terms. A
-    ``flag`` kept in the index is a filter as well.
+    The words are known before planning and go into the filters of the index tables: the bucket
+    picks the folders and the term the files and row groups, which lie in the order of terms.
     """
     spark = index.stats.sparkSession
     query = spark.range(1).select(F.lit(0).alias("qid"), F.lit(query_text).alias("text"))
     wanted = query_terms(query, index)
     rows = wanted.collect()  # the words of one query text
-    among = F.col("bucket").isin(sorted({r["bucket"] for r in rows})) & F.col("term").isin(
-        sorted(r["term"] for r in rows)
+    terms = index.terms.filter(_among(rows))
+    found = query_weights(index, spark.createDataFrame(rows, wanted.schema), terms).drop("qid")
+    return spark.createDataFrame(found.collect(), found.schema)
+
+
+def _among(words: Sequence[Row]) -> Column:
+    """Whether a row of an index table is about one of these words."""
+    return F.col("bucket").isin(sorted({r["bucket"] for r in words})) & F.col("term").isin(
+        sorted(r["term"] for r in words)
     )
-    wanted = spark.createDataFrame(rows, wanted.schema)
-    weights = F.broadcast(query_weights(index, wanted, index.terms.filter(among)))
-    postings = index.postings.filter(among)
+
+
+def score_parts(index: Bm25Index, words: DataFrame, flag: str | None = None) -> DataFrame:
+    """``(bucket, term, block, doc_id, part)``: what each word adds to the score of each document.
+
+    A ``flag`` kept in the index is a filter as well.
+    """
+    postings = index.postings.filter(_among(words.collect()))
     if flag is not None:
         postings = postings.filter(F.col(flag))
     avgdl = index.stats.select("avgdl").scalar()
     part = term_score(F.col("weight"), F.col("tf"), F.col("dl"), avgdl)
-    return postings.join(weights, ["bucket", "term"]).select("doc_id", part.alias("part"))
+    return postings.join(F.broadcast(words), ["bucket", "term"]).select(
+        "bucket", "term", "block", "doc_id", part.alias("part")
+    )
 
 
 def _scores(parts: DataFrame) -> DataFrame:
@@ -70,7 +85,7 @@ def _scores(parts: DataFrame) -> DataFrame:
 def bm25_scores(index: Bm25Index, corpus: DataFrame, query_text: str) -> DataFrame:
     """``(doc_id, score)`` of every document, zeros included."""
     zeros = corpus.select("doc_id", F.lit(0.0).alias("part"))
-    return _scores(score_parts(index, query_text).unionByName(zeros))
+    return _scores(score_parts(index, query_words(index, query_text)).select("doc_id", "part").unionByName(zeros))
 
 
 def best_first() -> list[Column]:
@@ -90,17 +105,24 @@ def search_topk(
     then is the corpus read for ids. With ``flag``, a boolean column of ``corpus``, only flagged
     documents are listed; term weights remain those of the whole corpus. A flag that the index
     keeps is filtered there.
+
+    Postings are read by blocks. The ``num_results`` blocks with the highest bounds give a score that
+    the last hit reaches at least; a block is skipped if, with the best of all other words added,
+    none of its documents can reach it. What a skipped block adds to the score of a document found
+    elsewhere is looked up for those documents that can still be hits.
     """
     stored_flag = flag if flag in index.flags else None
-    parts = score_parts(index, query_text, stored_flag)
     ids = corpus.filter(F.col(flag)) if flag is not None else corpus
     ids = ids.select("doc_id")
+    words = query_words(index, query_text)
+    parts = score_parts(index, words, stored_flag)
     if flag is not None and stored_flag is None:
         parts = parts.join(ids, "doc_id", "left_semi")
-    scored = _scores(parts)
+    scored = _scores(_hopeful_parts(index, words, parts, num_results))
     best = scored.filter(F.col("score") > 0).orderBy(*best_first()).limit(num_results)
     rows = best.collect()  # no more than the hits asked for
     if len(rows) < num_results:
+        # So few matches that no block was skipped: all that match are scored.
         zeros = ids.join(scored, "doc_id", "left_anti").orderBy("doc_id").limit(num_results)
         zeros = zeros.select("doc_id", F.lit(0.0).alias("score"))
         best = scored.unionByName(zeros).orderBy(*best_first()).limit(num_results)
@@ -108,6 +130,67 @@ def search_topk(
     return corpus.sparkSession.createDataFrame(rows, best.schema)
 
 
+def bounded_blocks(index: Bm25Index, words: DataFrame) -> DataFrame:
+    """``(bucket, term, block, n, bound)``: the most that a posting of each block adds to a score."""
+    avgdl = index.stats.select("avgdl").scalar()
+    bound = term_score(F.col("weight"), F.col("max_tf"), F.col("min_dl"), avgdl)
+    blocks = index.blocks.filter(_among(words.collect())).join(F.broadcast(words), ["bucket", "term"])
+    return blocks.select("bucket", "term", "block", "n", F.greatest(bound, F.lit(0.0)).alias("bound"))
+
+
+def needed_blocks(index: Bm25Index, words: DataFrame, parts: DataFrame, num_results: int) -> tuple[DataFrame, float]:
+    """The blocks in which hits must be looked for, and a score that the last hit reaches at least.
+
+    Words are put in order of their highest bound, ``most``. A document's score is at most the bound
+    of the block with its first word and ``most`` of the words after that one; the block is needed
+    if this reaches the score of the last hit. While fewer than ``num_results`` documents are known
+    to score, that is 0 and all blocks are needed.
+    """
+    blocks = bounded_blocks(index, words)
+    first = blocks.orderBy(F.desc("bound"), "term", "block").limit(num_results).collect()
+    # As many rows as hits are asked for.
+    first = index.stats.sparkSession.createDataFrame(first, blocks.schema)
+    begun = _in_blocks(parts, first).groupBy("doc_id").agg(F.sum("part").alias("score")).filter(
+        F.col("score") > 0
+    ).orderBy(F.desc("score")).limit(num_results).collect()
+    reached = begun[-1]["score"] if len(begun) == num_results else 0.0
+    # A row per word of the query.
+    most = blocks.groupBy("term").agg(F.max("bound").alias("most")).orderBy("most", "term").collect()
+    rest, after = [], 0.0
+    for word in most:
+        rest.append((word["term"], word["most"], after))
+        after += word["most"]
+    rest = index.stats.sparkSession.createDataFrame(rest, "term string, most double, after double")
+    blocks = blocks.join(F.broadcast(rest), "term").withColumn("all_most", F.lit(after))
+    return blocks.filter(F.col("bound") + F.col("after") >= reached - SLACK).drop("after"), reached
+
+
+def _in_blocks(parts: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``parts`` of ``blocks``, with the other columns of these; so few that they can be are pushed to the scan."""
+    numbers = blocks.select("block").distinct().limit(PUSHED_IDS + 1).collect()
+    if len(numbers) <= PUSHED_IDS:
+        parts = parts.filter(_any_of("block", sorted(r["block"] for r in numbers)))
+        blocks = F.broadcast(blocks)  # At most that number, for each word of a query.
+    return parts.join(blocks.drop("n", "bound"), ["bucket", "term", "block"])
+
+
+def _hopeful_parts(index: Bm25Index, words: DataFrame, parts: DataFrame, num_results: int) -> DataFrame:
+    """All parts of every document that may be among the best; others may be missing."""
+    if any(word["weight"] < 0 for word in words.collect()):
+        return parts  # A part may lower a score, so no score is reached before all parts are known.
+    needed, reached = needed_blocks(index, words, parts, num_results)
+    if not reached:
+        return parts
+    # What words without a needed block would add at most is still open for a document.
+    limit = F.sum("part") + F.first("all_most") - F.sum("most")
+    seen = _in_blocks(parts, needed).groupBy("doc_id").agg(limit.alias("limit"))
+    candidates = seen.filter(F.col("limit") >= reached - SLACK).select("doc_id")
+    few = candidates.limit(PUSHED_IDS + 1).collect()
+    if len(few) <= PUSHED_IDS:
+        return parts.filter(_any_of("doc_id", sorted(r["doc_id"] for r in few)))
+    return parts.join(candidates, "doc_id", "left_semi")
+
+
 def batch_topk(
     index: Bm25Index,
     corpus: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
 from papyra.operators.bm25 import (
-    BUCKETS, Bm25Index, bm25_documents, bm25_stats, bm25_terms, document_postings,
+    BLOCK_BITS, BUCKETS, Bm25Index, bm25_documents, bm25_stats, bm25_terms, document_postings, posting_blocks,
 )
 from papyra.sources.files import write_clustered
 from papyra.sources.sizes import partitions_for
@@ -25,10 +25,10 @@ def build_index(
     buckets: int = BUCKETS,
     flags: Sequence[str] = (),
 ) -> Bm25Index:
-    """Write the four index tables of a text column of a stored table under ``path``.
+    """Write the five index tables of a text column of a stored table under ``path``.
 
     The text is read for its size and then for each document's terms; postings come from the stored
-    documents, terms from the stored postings and statistics from the stored terms, so a lost
+    documents, blocks and terms from the stored postings and statistics from the stored terms, so a lost
     executor repeats only its own part. Raise
     ``buckets`` with the corpus: a search reads about one bucket per query term. ``flags`` are
     boolean columns kept beside the postings, so that flagged searches need not read the corpus.
@@ -46,9 +46,10 @@ def build_index(
     documents = _read(spark, build, "documents", id_type, flags)
     write_clustered(
         document_postings(documents, buckets, flags),
-        f"{build}/postings", "bucket", ("term", "doc_id"), partitions,
+        f"{build}/postings", "bucket", ("term", "doc_id"), partitions, BLOCK_BITS,
     )
     postings = _read(spark, build, "postings", id_type, flags)
+    write_clustered(posting_blocks(postings), f"{build}/blocks", "bucket", ("term", "block"), partitions)
     write_clustered(bm25_terms(postings, num_docs), f"{build}/terms", "bucket", ("term",), partitions)
     # The settings are kept with the statistics: queries must be tokenised as the texts were.
     stats = bm25_stats(_read(spark, build, "terms"), num_docs).select(
@@ -70,7 +71,8 @@ def _read(
     more = "".join(f", `{flag}` boolean" for flag in flags)
     schema = {
         "documents": f"doc_id {id_type}, dl int, terms array<struct<term:string,tf:bigint>>{more}",
-        "postings": f"term string, doc_id {id_type}, tf bigint, dl int{more}, bucket int",
+        "postings": f"term string, doc_id {id_type}, tf bigint, dl int{more}, block bigint, bucket int",
+        "blocks": "term string, block bigint, n bigint, max_tf bigint, min_dl int, bucket int",
         "terms": "term string, df bigint, cf bigint, raw_idf double, bucket int",
     }
     return spark.read.schema(schema[table]).parquet(f"{path}/{table}")
@@ -85,7 +87,7 @@ def load_index(spark: SparkSession, path: str) -> Bm25Index:
     build, flags = settings["build"], tuple(settings["flags"])
     stats = spark.read.parquet(f"{build}/stats")
     return Bm25Index(
-        _read(spark, build, "postings", settings["id_type"], flags),
+        _read(spark, build, "postings", settings["id_type"], flags), _read(spark, build, "blocks"),
         _read(spark, build, "documents", settings["id_type"], flags), _read(spark, build, "terms"), stats,
         settings["buckets"], tuple(settings["stop_words"]), flags,
     )

@@ -98,22 +98,20 @@ def write_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_clustered(
-    df: DataFrame, path: str, cluster_by: str, sort_by: Sequence[str], partitions: int
+    df: DataFrame, path: str, cluster_by: str, sort_by: Sequence[str], partitions: int, block_bits: int | None = None
 ) -> None:
     """Write ``df`` as Parquet, one directory per value of ``cluster_by``, sorted inside.
 
     Rows are dealt out by ranges of ``cluster_by`` and ``sort_by``, so the files of a directory
     hold ranges that do not overlap, and one hot value (a term in every third document) is spread
-    over as many files as its rows need, since the last sort column tells its rows apart.
+    over as many files as its rows need, since the last sort column tells its rows apart. With
+    ``block_bits``, a column ``block`` numbers runs of so many rows, as a power of two.
     """
     keys = (cluster_by, *sort_by)
-    (
-        df.repartitionByRange(partitions, *keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .partitionBy(cluster_by)
-        .parquet(path)
-    )
+    dealt = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+    if block_bits is not None:
+        dealt = dealt.withColumn("block", F.shiftright(F.monotonically_increasing_id(), block_bits))
+    dealt.write.mode("overwrite").partitionBy(cluster_by).parquet(path)
 
 
 def write_by_id(df: DataFrame, path: str, id_column: str = "doc_id", partitions: int | None = None) -> None:

@@ -37,7 +37,7 @@ def plans(spark, docs, index):
         "prepare": plan(prepare_papers(papers)),
         "dedup": plan(clean.drop_duplicate_texts(docs.select("doc_id", "abstract"))),
         "postings": plan(bm25_postings(docs)),
-        "parts": plan(search.score_parts(index, "thinor blees", "flagged")),
+        "parts": plan(search.score_parts(index, search.query_words(index, "thinor blees"), "flagged")),
         "batch": plan(search.batch_topk(index, docs, queries)),
         "attach": plan(search.attach_documents(
             spark.createDataFrame([(1, 2.0)], "doc_id long, score double"), docs

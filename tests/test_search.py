@@ -86,6 +86,50 @@ def test_scores_and_top_k(corpus, index, docs, query):
     assert pairs(s.search_topk(index, renamed, query, 7, "not_in_the_index")) == flagged
 
 
+@pytest.fixture(scope="module")
+def blocked(spark, tmp_path_factory):
+    """A corpus in which one word is frequent and one rare, with blocks of eight postings."""
+    from papyra.plans import index as plan
+
+    rng = random.Random(4)
+    docs = {i: [f"x{rng.randint(0, 300)}" for _ in range(rng.randint(1, 40))] for i in range(900)}
+    for i in range(0, 900, 3):
+        docs[i] += ["often"] * rng.randint(1, 3)
+    for i in range(5, 900, 70):
+        docs[i] += ["seldom", "often"][: rng.randint(1, 2)] * rng.randint(1, 2)
+    path = tmp_path_factory.mktemp("blocked")
+    corpus = make_corpus(spark, docs)
+    corpus.write.parquet(f"{path}/c")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(plan, "BLOCK_BITS", 3)
+        index = build_index(spark.read.parquet(f"{path}/c"), f"{path}/i", buckets=2, flags=["flag"])
+    return docs, spark.read.parquet(f"{path}/c"), index
+
+
+@pytest.mark.parametrize("query, k, pushed", [
+    ("often seldom", 5, 1000), ("often", 3, 2), ("seldom", 40, 1000), ("often x1 x2 seldom", 4, 2), ("x7 x8 x9", 500, 1000),
+])
+def test_skipped_blocks_change_no_hit(blocked, query, k, pushed, monkeypatch):
+    docs, corpus, index = blocked
+    monkeypatch.setattr(s, "PUSHED_IDS", pushed)
+    expected = okapi(docs, query.split())
+    assert pairs(s.search_topk(index, corpus, query, k)) == best(expected, k)
+    assert pairs(s.search_topk(index, corpus, query, k, "flag")) == best(expected, k, lambda i: i % 2 == 0)
+
+
+def test_few_postings_of_a_frequent_word_are_read_beside_a_rare_one(blocked):
+    _, _, index = blocked
+    words = s.query_words(index, "often seldom")
+    needed, reached = s.needed_blocks(index, words, s.score_parts(index, words), 5)
+    count = lambda df: df.agg(F.sum("n")).first()[0]
+    assert reached > 0
+    assert count(s.bounded_blocks(index, words)) == index.postings.filter("term in ('often', 'seldom')").count()
+    assert count(needed) < count(s.bounded_blocks(index, words)) / 4
+    bounds = s.bounded_blocks(index, words).select("term", "block", "bound")
+    above = s.score_parts(index, words).join(bounds, ["term", "block"]).filter("part > bound + 1e-12")
+    assert above.count() == 0
+
+
 def test_search_keeps_the_best_of_each_title(corpus, index, docs):
     expected, titles = [], set()
     for i, score in best(okapi(docs, ["hot", "w1"]), 12):
