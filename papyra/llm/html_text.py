@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript iframe template textarea title svg object".split())
@@ -45,6 +46,11 @@ _NOTICES = frozenset(
 _HINTS = _LAYOUT | _NOTICES
 # Words of parts that may hold articles of others.
 _OTHERS = frozenset("comment comments reply replies disqus related recommended".split())
+# Whole names of parts around a text that give no part of it.
+_PARTS = frozenset(
+    "share-buttons social-buttons author-box author-bio author-card about-author post-tags entry-tags article-tags"
+    " tag-list tags-list tag-cloud tags read-more".split()
+)
 # Words that may stand beside these in one name; any other word makes it the name of something else.
 _BESIDE = frozenset(
     "site main global primary secondary top bottom left right box bar list item items block container wrapper"
@@ -58,12 +64,16 @@ _BESIDE_OTHERS = _BESIDE | _HINTS | frozenset(
 # page's text outside links. Where an article is marked elsewhere, the layout must hold nearly all,
 # and what is no layout is never part of the text.
 _MOST, _NEARLY_ALL = 0.5, 0.9
+# A closing part of so many characters at most, which claims rights.
+_IMPRINT_CHARS = 200
+_IMPRINT = re.compile(r"^(copyright\b|©|\(c\)\s*\d{4})|all rights reserved\W*$", re.IGNORECASE)
 # Quotes count only after "=", and only if they are closed.
 _TAG = re.compile(
     r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+)>"""
 )
 _LOOSE_TAG = re.compile("<(/?)([a-zA-Z][^\\s/>]*+)([^>]*+)>")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE | re.ASCII) for name in _RAW}
+_CLASS = re.compile(r"""(?:^|\s)class\s*=\s*("[^"]*"|'[^']*'|[^\s>]*)""", re.IGNORECASE)
 _MARKING = re.compile("class|id|role|hidden|style", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 _WORD = re.compile("[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
@@ -75,6 +85,7 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parents, self.first, self.last = ["html"], [-1], [0], [0]
         self.dropped = [False]
+        self._names = [("html", "")]  # tag and class
         self._by_word: set[int] = set()  # dropped only for what may be the page's layout
         self._beside: set[int] = set()  # dropped unless they hold nearly all of the text
         self._layout: set[int] = set()  # of these, dropped unless they hold most of it
@@ -112,6 +123,8 @@ class Page:
         self.first.append(len(self.items))
         self.last.append(0)
         self.dropped.append(self._is_extra(tag, attributes))
+        named = _CLASS.search(attributes)
+        self._names.append((tag, named[1] if named else ""))
         self._open.append(node)
         self._counts[tag] += 1
 
@@ -146,6 +159,8 @@ class Page:
             elif name in ("class", "id", "role"):
                 for token in value.split():
                     words = {word.lower() for word in _WORD.findall(token)}
+                    if "-".join(_WORD.findall(token)).lower() in _PARTS:
+                        extra = True
                     if words & _OTHERS and words <= _OTHERS | _BESIDE_OTHERS:
                         extra, layout = True, False
                     elif words & _HINTS and words <= _HINTS | _BESIDE:
@@ -284,22 +299,81 @@ class Page:
         path = [best]
         while self.parents[path[-1]] >= 0:
             path.append(self.parents[path[-1]])
-        inside = [node for node in path if self.tags[node] in ("article", "main")]
-        if inside:
-            return self._text(inside[0], None)
         # The path to the body gives the density that other parts need; extras are out already.
         least = min((density[node] for node in path if density[node] > 0), default=0.0)
+        chars, free = self._link_free()
+        mostly_text = [2 * own > all_of for own, all_of in zip(free, chars)]
+        self._drop_links_alone(chars, free)
+        inside = [node for node in path if self.tags[node] in ("article", "main")]
+        if inside:
+            parts = self._articles_beside(inside[0], path)
+            parts = [node for node in parts if density[node] >= least and mostly_text[node]]
+            return "\n".join(filter(None, (self._text(node, None) for node in sorted([inside[0], *parts]))))
+        around = self.parents[best]
+        whole = around > 0 and self.tags[around] != "body"
         kept = [False] * len(self.tags)
         on_path = set(path)
         for node in range(len(self.tags)):
             up = self.parents[node]
+            # Beside the densest part, text is text however short; elsewhere it must be as dense.
+            beside = up >= 0 and up == around and (whole or self._names[node] == self._names[best]) and mostly_text[node]
             kept[node] = (
-                node in on_path or up >= 0 and (kept[up] and up not in on_path or up == best)
+                node in on_path or up >= 0 and (kept[up] and up not in on_path or up == best) or beside
                 or up in on_path and (density[node] >= least or self.tags[node] in _HEADINGS)
                 or self.tags[node] == "h1"
             )
+            if up in on_path and node not in on_path and node > best and self._is_imprint(node, chars[node]):
+                kept[node] = False
         return self._text(0, kept)
 
+    def _link_free(self) -> tuple[list[int], list[int]]:
+        """Characters of each element, and those outside links."""
+        chars, free, in_link = [0] * len(self.tags), [0] * len(self.tags), self._links()
+        for node, text in self.items:
+            if not self.dropped[node]:
+                count = len("".join(text.split()))
+                chars[node] += count
+                free[node] += count * (not in_link[node])
+        for node in range(len(self.tags) - 1, 0, -1):
+            chars[self.parents[node]] += chars[node]
+            free[self.parents[node]] += free[node]
+        return chars, free
+
+    def _drop_links_alone(self, chars: list[int], free: list[int]) -> None:
+        """Lists and other parts that hold links and nothing else, no heading either, are menus."""
+        heads = [False] * len(self.tags)
+        for node in range(len(self.tags) - 1, 0, -1):
+            heads[node] = heads[node] or self.tags[node] in _HEADINGS
+            heads[self.parents[node]] = heads[self.parents[node]] or heads[node]
+        in_link = self._links()
+        for node in range(1, len(self.tags)):
+            alone = chars[node] and not free[node] and not heads[node] and not in_link[node]
+            self.dropped[node] = self.dropped[node] or self.dropped[self.parents[node]] or bool(
+                alone and self.tags[node] in ("div", "ul", "ol", "section", "table")
+            )
+
+    def _articles_beside(self, root: int, path: list[int]) -> list[int]:
+        """The outermost other articles in the ``main``, or else the parent, around the article ``root``."""
+        if self.tags[root] != "article":
+            return []
+        above = path[path.index(root) + 1 :]
+        around = next((node for node in above if self.tags[node] == "main"), self.parents[root])
+        inner, found = [False] * len(self.tags), []
+        for node in range(around + 1, len(self.tags)):
+            up = self.parents[node]
+            inner[node] = up == around or up > around and inner[up]
+            if up > around and self.tags[up] == "article":
+                inner[node] = False  # What lies in an article goes with it.
+            if inner[node] and self.tags[node] == "article" and node != root and not self.dropped[node]:
+                found.append(node)
+        return found
+
+    def _is_imprint(self, node: int, chars: int) -> bool:
+        """A short closing part that claims rights."""
+        if chars > _IMPRINT_CHARS:
+            return False
+        return bool(_IMPRINT.search(self._text(node, None)))
+
     def _text(self, root: int, kept: list[bool] | None) -> str:
         lines, parts = [], []
         for node, text in self.items[self.first[root] : self.last[root]] + [(root, "")]:
@@ -321,8 +395,12 @@ def extract_text(
     comments are left out by element and by the names in their class, id and role, unless they hold
     most of the text outside links (nearly all, for notices and comments). Of the rest,
     the element whose children have the largest sum of composite text density is the article, or
-    its enclosing ``article`` or ``main``; elsewhere, parts beside it that reach the least density
-    on its path to the body, headings there and any ``h1`` belong to it too. Text is decoded, blocks are parted by
+    its enclosing ``article`` or ``main``. Other articles of the same ``main`` belong to the text if
+    they hold more text outside links than inside and reach the least density on the path from that
+    element to the body. Without such marks, siblings of the element that hold more text outside
+    links than inside belong to it (in the body itself, only those of its tag and class), and so do
+    other parts beside the path that reach the least density there, headings there and any ``h1``;
+    a short closing claim of rights does not. Parts of links alone are menus. Text is decoded, blocks are parted by
     line feeds, white space inside a block is one space. A null or empty source, or one without
     text, gives an empty text. Null and repeated ids are kept; other columns are not read.
     """
@@ -334,8 +412,9 @@ def extract_text(
             )
 
     given = pages.select(
-        F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
+        F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),
     )
-    found = given.mapInArrow(run, "id long, url string, text string")
+    schema = StructType([*given.schema.fields[:2], StructField("text", StringType())])
+    found = given.mapInArrow(run, schema)
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
