@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.stored import stored
+from papyra.llm.stored import free_name, stored
 from papyra.sources.sizes import can_broadcast
 
 NGRAM = 13
@@ -149,13 +149,14 @@ def remove_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id
 def remove_spans(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the hit words of contaminated documents cut out of ``text_col``.
 
-    A cut document is the normalised words that were not hit, one space between them. Ids must be
-    unique here.
+    A cut document is the normalised words that were not hit, one space between them. ``id_col`` must
+    tell rows apart here (a stored row number does); rows without an id are left as they are.
     """
-    spans = found.where("contaminated").select(F.col(id_col), F.col("hit_spans").alias("_spans"))
+    noted = free_name(docs, "_spans")
+    spans = found.where("contaminated").select(F.col(id_col), F.col("hit_spans").alias(noted))
     tokens = F.filter(
         words(F.col(text_col)),
-        lambda word, place: ~F.exists("_spans", lambda s: (place >= s["first"]) & (place <= s["last"])),
+        lambda word, place: ~F.exists(noted, lambda s: (place >= s["first"]) & (place <= s["last"])),
     )
-    cut = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(tokens, " "))
+    cut = F.when(F.col(noted).isNull(), F.col(text_col)).otherwise(F.array_join(tokens, " "))
     return docs.join(spans, id_col, "left").withColumn(text_col, cut).select(docs.columns)

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from papyra.llm.components import components
 from papyra.llm.setsketch import (
@@ -75,8 +76,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts and texts without words have no shingles and stand alone. A row without
     an id has no component and is kept. Rows that repeat an id are the same document: all of them
-    stay or go together, and their texts should be equal.
+    stay or go together, and their texts should be equal. Ids must be whole numbers; any others are
+    an error, and a stored row number can stand for them.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise ValueError("near-duplicates are named by whole numbers; number the rows of a table with other ids")
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     named_texts = given.withColumn("id", F.col("id").cast("string"))
     sketches = named_texts.mapInPandas(_sketches, _NOTE).withColumn("id", F.col("id").cast("long"))

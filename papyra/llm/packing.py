@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from papyra.llm.bpe import Encoder
 
 WINDOW = 1024
 END_ID = 0
-_SCHEMA = "id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-_ARROW = pa.schema([(name, pa.int64()) for name in ("id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
+_NUMBERS = ("start", "length", "doc_tokens", "sequence_id", "offset")
 # Documents that a task encodes together.
 READ_ROWS = 500
 # Sequences of one task are numbered from its partition number times this.
@@ -114,22 +115,22 @@ class Packer:
         self._waiting = {}
 
 
-def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(column, field.type) for column, field in zip(columns, _ARROW)], schema=_ARROW
+        [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
     )
 
 
-def _batches(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     batch = []
     for row in rows:
         batch.append(row)
         if len(batch) == 1024:
-            yield _record_batch(batch)
+            yield _record_batch(batch, schema)
             batch = []
     if batch:
-        yield _record_batch(batch)
+        yield _record_batch(batch, schema)
 
 
 def pack(
@@ -155,9 +156,14 @@ def pack(
         encoder = Encoder(vocabulary)
         packer = Packer(window, TaskContext.get().partitionId() * TASK_SEQUENCES)
         end = np.array([end_id], dtype="<u4")
+        batches = iter(batches)
+        first = next(batches, None)
+        if first is None:
+            return
+        kinds = [("id", first.schema.field(0).type), *[(name, pa.int64()) for name in _NUMBERS], ("ids", pa.binary())]
 
         def rows() -> Iterator[tuple]:
-            for batch in batches:
+            for batch in chain([first], batches):
                 for start in range(0, len(batch), READ_ROWS):
                     part = batch.slice(start, READ_ROWS)
                     texts = [text or "" for text in part.column(1).to_pylist()]
@@ -165,8 +171,11 @@ def pack(
                         yield from packer.add(number, np.concatenate((ids, end)).astype("<u4", copy=False))
             yield from packer.finish()
 
-        yield from _batches(rows())
+        yield from _batches(rows(), pa.schema(kinds))
 
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    packed = given.mapInArrow(run, _SCHEMA)
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    schema = StructType(
+        [given.schema["id"]] + [StructField(name, LongType()) for name in _NUMBERS] + [StructField("ids", BinaryType())]
+    )
+    packed = given.mapInArrow(run, schema)
     return packed.withColumnRenamed("id", id_col)

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyra.llm.labels import agreed_labels
 from papyra.llm.quality_rules import measures, rule_values
 from papyra.llm.stored import stored
 from papyra.llm.toxicity import fold
@@ -20,11 +21,6 @@ HELD_OUT = 2
 _LEAST = 1e-6
 
 
-def host_and_path(url: Column) -> tuple[Column, Column]:
-    """Host of a URL and its first path segment, for tables that have URLs."""
-    return F.parse_url(url, F.lit("HOST")), F.split(F.parse_url(url, F.lit("PATH")), "/")[1]
-
-
 def _logit(p: Column) -> Column:
     p = F.greatest(F.least(p, F.lit(1 - _LEAST)), F.lit(_LEAST))
     return F.log(p) - F.log(1 - p)
@@ -44,9 +40,8 @@ def document_evidence(measured: DataFrame, labels: DataFrame, label_col: str) ->
     ``known`` is their label. Without labels of both classes ``p`` is the share of good labels, or
     one half.
     """
-    marks = labels.select(F.col("id"), F.col(label_col).cast("double").alias("known")).where(
-        "id is not null and known in (0, 1)"
-    ).dropDuplicates(["id"]).where(fold(F.col("id")) != HELD_OUT)
+    marks = agreed_labels(labels, "id", label_col, "known").withColumn("known", F.col("known").cast("double"))
+    marks = marks.where(fold(F.col("id")) != HELD_OUT)
     features = _features()
     marked = stored(measured.join(marks, "id", "left").withColumns(features), "evidence")
     shares = marked.where("known is not null").agg(F.count("*").alias("n"), F.avg("known").alias("good")).first()

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyra.llm.labels import agreed_labels
 from papyra.llm.stored import stored
 from papyra.sources.sizes import can_broadcast
 
@@ -156,15 +157,17 @@ def certified_cutoffs(
     of good holdouts is taken, the laxest of equals, and none that rejects no bad holdout.
     """
     values = rule_values()
-    good = labels.where(F.col(label_col).isin(0, 1)).select(
-        F.col(id_col), (F.col(label_col) == 1).alias("_good")
-    ).dropDuplicates([id_col])
+    good = agreed_labels(labels, id_col, label_col, "_label").select(
+        F.col("id").alias(id_col), (F.col("_label") == 1).alias("_good")
+    )
     held = measured.where(~base_failed()).join(good, id_col).select(
-        F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), "_good",
+        F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), "_good",
         F.array(*[
             F.struct(F.lit(rule).alias("rule"), values[rule].alias("value")) for rule in RULES
         ]).alias("_values"),
     )
+    # Holdouts must be independent: documents of one id are one, the least by its measures.
+    held = held.groupBy("id").agg(F.min(F.struct("stratum", "_good", "_values")).alias("one")).select("one.*")
     grid = F.create_map(*[
         x for rule, cuts in RULES.items() for x in (F.lit(rule), F.array(*map(F.lit, cuts)))
     ])
@@ -207,18 +210,19 @@ def certified_cutoffs(
 
 def quality_rules(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    stratum_col: str = "lang", label_col: str = "quality",
+    stratum_col: str = "lang", label_col: str = "quality", row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, the counts, ``base_failed, kept, failed_rules``.
 
     Kept is a document that passes the base rules and exceeds none of its stratum's certified
     cutoffs (see ``certified_cutoffs``). A stratum with too few labels has none, and loses only
     what the base rules reject; null strata form one stratum. Null and empty texts fail the base
-    rules. Null and repeated ids are kept, each row for itself; of labels that repeat an id one is
-    used. Without documents there are no rows; without labels only the base rules act.
+    rules. Null and repeated ids are kept, each row for itself; labels of an id that contradict
+    each other are not used. Without documents there are no rows; without labels only the base rules
+    act. ``row_col``, a column of ``docs``, comes last in the result if it is given.
     """
     given = docs.select(
-        F.col(id_col), F.col(stratum_col).cast("string").alias("_stratum"), F.col(text_col).alias("_text")
+        F.col(id_col), *([] if row_col is None else [F.col(row_col).alias("_row")]), F.col(stratum_col).cast("string").alias("_stratum"), F.col(text_col).alias("_text")
     )
     measured = stored(measures(given, "_text"), "measures")
     cutoffs = certified_cutoffs(measured, labels, id_col, "_stratum", label_col)
@@ -241,5 +245,6 @@ def quality_rules(
         .select(
             id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules",
+            *([] if row_col is None else [F.col("_row").alias(row_col)]),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyra.llm.stored import stored
+from papyra.llm.stored import free_name, numbered, stored
 from papyra.sources.sizes import can_broadcast
 
 # Base kinds in their order: pattern, group of the value, least length of the value.
@@ -140,12 +140,10 @@ def scan_and_redact(docs: DataFrame, text_col: str = "text", **columns: str) ->
 
     Rows are numbered and stored first, so that rows with null or repeated ids meet their own spans.
     """
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    scanned = scan(numbered, text_col=text_col, row_col=row, **columns)
-    return redact(numbered, scanned, text_col=text_col, row_col=row).select(docs.columns)
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    scanned = scan(rows, text_col=text_col, row_col=row, **columns)
+    return redact(rows, scanned, text_col=text_col, row_col=row).select(docs.columns)
 
 
 def redact(
@@ -157,18 +155,19 @@ def redact(
     spans by ``row_col``, the one given to ``scan``. Without it they do by id, which must then be
     unique, and rows without an id are left as they are.
     """
+    noted, merged_name = free_name(docs, "_spans"), free_name(docs, "_merged")
     if row_col is not None:
         id_col, scanned = row_col, scanned.select(F.col("row").alias(row_col), "spans")
     found = scanned.where((F.size("spans") > 0) & F.col(id_col).isNotNull()).select(
         id_col, F.array_join(F.transform("spans", lambda s: F.concat_ws(
             ":", s["start"], s["stop"], F.when(s["live"], 1).otherwise(0)
-        )), ",").alias("_spans"),
+        )), ",").alias(noted),
     )
     found = stored(found, "spans")
     if can_broadcast(found):
         found = F.broadcast(found)
     kind = "array<struct<start:int,stop:int,live:int>>"
-    parsed = F.transform(F.split("_spans", ","), lambda s: F.struct(
+    parsed = F.transform(F.split(noted, ","), lambda s: F.struct(
         F.split(s, ":")[0].cast("int").alias("start"), F.split(s, ":")[1].cast("int").alias("stop"),
         F.split(s, ":")[2].cast("int").alias("live"),
     ))
@@ -196,10 +195,10 @@ def redact(
         )
 
     clean = F.aggregate(
-        F.col("_merged"), state, cut,
+        F.col(merged_name), state, cut,
         lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))),
     )
-    joined = docs.join(found, id_col, "left").withColumn("_merged", F.when(F.col("_spans").isNotNull(), merged))
+    joined = docs.join(found, id_col, "left").withColumn(merged_name, F.when(F.col(noted).isNotNull(), merged))
     return joined.withColumn(
-        text_col, F.when(F.col("_merged").isNull(), text).otherwise(clean)
+        text_col, F.when(F.col(merged_name).isNull(), text).otherwise(clean)
     ).select(docs.columns)

@@ -3,10 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from papyra.sources.scratch import scratch_path
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (names differ by more than case)."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df`` with a number of its own for each row in ``row``, stored so that it stays the same."""
+    return stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df``, written under ``spark.checkpoint.dir`` and read again.
 

@@ -8,18 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from papyra.llm.bpe import Encoder
 from papyra.llm.packing import READ_ROWS
 
 RULES = ("first", "most")
-_SCHEMA = (
-    "id long, field string, section long, start long, stop long, n_tokens long, n_crossing long, doc_tokens long"
-)
-_ARROW = pa.schema([
-    ("id", pa.int64()), ("field", pa.string()), ("section", pa.int64()), ("start", pa.int64()),
-    ("stop", pa.int64()), ("n_tokens", pa.int64()), ("n_crossing", pa.int64()), ("doc_tokens", pa.int64()),
-])
+_NUMBERS = ("section", "start", "stop", "n_tokens", "n_crossing", "doc_tokens")
 
 
 def attribute(ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -28,7 +23,7 @@ def attribute(ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np.ndarr
     ``ends`` are the byte ends of the tokens, which begin at 0 and lie without gaps; ``bounds`` the
     byte bounds of the sections, also without gaps. Both sorted, so the interval join is a search.
     """
-    starts = np.concatenate(([0], ends[:-1]))
+    starts = np.concatenate(([0], ends))[:-1]
     first = np.searchsorted(bounds, starts, side="right") - 1
     last = np.searchsorted(bounds, ends, side="left") - 1
     owner = first.copy()
@@ -88,7 +83,8 @@ def token_counts(
             parts = [[(value or "").encode() for value in row] for row in zip(*columns)]
             whole = [gap.join(row) for row in parts]
             encoded = encoder.encode([raw.decode() for raw in whole])
-            out: list[list] = [[] for _ in _ARROW]
+            kinds = [("id", batch.schema.field(0).type), ("field", pa.string()), *[(name, pa.int64()) for name in _NUMBERS]]
+            out: list[list] = [[] for _ in kinds]
             for number, raw, row, tokens in zip(ids, whole, parts, encoded):
                 field_of, numbers, bounds = sections(row)
                 at = np.array(bounds, dtype=np.int64)
@@ -101,11 +97,14 @@ def token_counts(
                     counts.tolist(), crossing.tolist(), [len(tokens)] * n,
                 )):
                     column.extend(values)
-            arrays = [pa.array(column, field.type) for column, field in zip(out, _ARROW)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+            arrays = [pa.array(column, kind) for column, (_, kind) in zip(out, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(kinds))
 
     given = docs.select(
-        F.col(id_col).cast("long").alias("id"),
+        F.col(id_col).alias("id"),
         *[F.col(name).cast("string").alias(f"field_{i}") for i, name in enumerate(names)],
     )
-    return given.mapInArrow(run, _SCHEMA).withColumnRenamed("id", id_col)
+    schema = StructType([
+        given.schema["id"], StructField("field", StringType()), *[StructField(name, LongType()) for name in _NUMBERS]
+    ])
+    return given.mapInArrow(run, schema).withColumnRenamed("id", id_col)

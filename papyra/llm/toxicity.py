@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyra.llm.labels import agreed_labels
 from papyra.llm.terms import BITS, hashed_terms
 from papyra.llm.words import blocks
 from papyra.sources.sizes import can_broadcast
@@ -131,11 +132,9 @@ def train(
     Terms of fewer than ``LEAST_TEXTS`` labelled texts are left out by a grouped count; what comes
     to the driver is bounded by the ``2 ** BITS`` hashed terms. The machine is then fitted to all
     other terms of at most ``training_rows`` labelled texts. Rows without id, text or a label of 0 or 1 teach
-    nothing; without labels of both classes every text gets the share of toxic labels (0 if none).
+    nothing, nor do ids with both labels; without labels of both classes every text gets the share of toxic labels (0 if none).
     """
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(
-        "id is not null and toxic in (0, 1)"
-    ).dropDuplicates(["id"])
+    marks = agreed_labels(labels, id_col, label_col, "toxic")
     marks = marks.where(fold(F.col("id")) != _HELD_OUT)
     sizes = {row["toxic"]: row["count"] for row in marks.groupBy("toxic").count().collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
@@ -203,7 +202,9 @@ def score(
 
     # Ids go through pandas as text, since it keeps no integers beside nulls.
     given = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scored = given.mapInPandas(run, "id string, score double").withColumn("id", F.col("id").cast("long"))
+    scored = given.mapInPandas(run, "id string, score double").withColumn(
+        "id", F.col("id").cast(docs.schema[id_col].dataType)
+    )
     return scored.select(
         F.col("id").alias(id_col), F.coalesce(fold(F.col("id")) == _HELD_OUT, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= threshold).cast("int").alias("predicted"),

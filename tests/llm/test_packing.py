@@ -93,3 +93,43 @@ def test_token_counts_of_fields(spark, tokenizer):
         ("title", 0, 0, 9), ("text", 0, 9, 20), ("text", 1, 20, 34), ("text", 2, 34, 34),
     ]
     assert token_counts(docs.limit(0)).collect() == []
+
+
+def counted_by_loop(rows, rule, tokenizer):
+    """Every row of the token counts, by one look at each token's bytes."""
+    sizes = Encoder().token_bytes
+    for number, text in rows:
+        raw = (text or "").encode()
+        bounds, at = [0], 0
+        pieces = raw.split(b"\n")
+        for i, piece in enumerate(pieces):
+            at += len(piece) + (i < len(pieces) - 1)
+            bounds.append(at)
+        tokens = [int(sizes[i]) for i in tokenizer.encode(text or "", add_special_tokens=False).ids]
+        counts, crossing, start = [0] * len(pieces), [0] * len(pieces), 0
+        for size in tokens:
+            inside = [len(set(range(start, start + size)) & set(range(bounds[k], bounds[k + 1]))) for k in range(len(pieces))]
+            held = [k for k, n in enumerate(inside) if n]
+            owner = held[0] if rule == "first" else max(held, key=lambda k: (inside[k], -k))
+            counts[owner] += 1
+            crossing[owner] += len(held) > 1
+            start += size
+        points = [len(raw[:b].decode()) for b in bounds]
+        for k in range(len(pieces)):
+            yield number, "text", k, points[k], points[k + 1], counts[k], crossing[k], len(tokens)
+
+
+@pytest.mark.parametrize("rule", ["first", "most"])
+def test_token_counts_equal_a_loop(spark, tokenizer, rule):
+    rows = [(i if i % 5 else None, text) for i, text in enumerate([*ODD, None, "", "\n\n\n  \n", "é\n\n日\n", "a\n\n\n\nb" * 20])]
+    rows = [(i, text) for i, text in rows if text is None or len(text) < 2000]
+    docs = spark.createDataFrame([(i, text, "x") for i, text in rows], "doc_id long, text string, section string")
+    found = sorted(map(tuple, token_counts(docs.repartition(3), rule=rule).collect()), key=repr)
+    assert found == sorted(counted_by_loop(rows, rule, tokenizer), key=repr)
+
+
+def test_token_counts_of_a_very_long_text(spark, tokenizer):
+    text = "some line of words\n" * 20_000
+    rows = token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    total = len(tokenizer.encode(text, add_special_tokens=False).ids)
+    assert len(rows) == 20_001 and sum(r.n_tokens for r in rows) == total == rows[0].doc_tokens
