@@ -1,7 +1,8 @@
 """Training-corpus pipeline: each stage is written as Parquet and read again by the next.
 
-The stages keep every column of ``documents`` but the last, which gives packed pieces. Documents
-with a null id cannot be named by a verdict and stay; rows that repeat an id share its fate.
+The stages keep every column of ``documents`` but the last, which gives packed pieces. Rows are
+judged each for itself, by a number that a stage stores beside them, so null, repeated and text ids
+and columns of any name make no difference.
 """
 
 from __future__ import annotations
@@ -9,35 +10,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.llm.decontaminate import decontaminate, remove_contaminated
+from papyra.llm.decontaminate import decontaminate
 from papyra.llm.neardup import near_duplicates
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import scan_and_redact
-from papyra.llm.stored import stored
+from papyra.llm.stored import free_name, numbered, stored
 from papyra.sources.sizes import can_broadcast
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of ``ids``, which are broadcast if measured to be few."""
-    ids = stored(ids.select("doc_id").distinct(), "rejected")
-    return docs.join(F.broadcast(ids) if can_broadcast(ids) else ids, "doc_id", "left_anti")
+def _without(rows: DataFrame, gone: DataFrame, row: str) -> DataFrame:
+    """``rows`` without those whose numbers ``gone`` has, which are broadcast if measured to be few."""
+    gone = stored(gone.select(row), "gone")
+    return rows.join(F.broadcast(gone) if can_broadcast(gone) else gone, row, "left_anti").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, quality_rules(docs, labels).where("not kept"))
+    row, labels = free_name(docs, "_row"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = numbered(docs, row)
+    return _without(rows, quality_rules(rows, labels, row_col=row).where("not kept"), row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the least id."""
-    return _without(docs, near_duplicates(docs).where("not kept"))
+    """One document of each group of near-duplicates stays: the first of those with the least id."""
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    found = near_duplicates(rows, id_col=row).select(F.col(row).alias("at"), F.col("component_id").alias("group"))
+    others = stored(found.where("at <> group"), "others")
+    members = others.unionByName(others.select(F.col("group").alias("at"), "group").distinct())
+    members = members.join(rows.select(F.col(row).alias("at"), F.col("doc_id").alias("id")), "at")
+    # Nulls are greater than any id here.
+    place = F.struct(F.col("id").isNull().alias("null"), "id", "at")
+    first = members.groupBy("group").agg(F.min(place).alias("first")).select(F.col("first.at").alias("at"))
+    return _without(rows, members.join(first, "at", "left_anti").withColumnRenamed("at", row), row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
-    return remove_contaminated(docs, decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    row, items = free_name(docs, "_row"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    rows = numbered(docs, row)
+    return _without(rows, decontaminate(rows, items, id_col=row).where("contaminated"), row)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
