@@ -26,7 +26,9 @@ from papyra.llm.batches import list_column, text_slices
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 # Chunks, their characters and pairs that a worker remembers; longer chunks are encoded alone.
-_CHUNKS, _CHARACTERS, _PAIRS, _CHUNK_LENGTH = 500_000, 16_000_000, 1_000_000, 48
+_CHUNKS, _CHARACTERS, _PAIRS, _CHUNK_LENGTH = 300_000, 16_000_000, 500_000, 48
+# Characters of texts, and chunks, that are worked on together.
+_BLOCK, _TOGETHER = 1 << 20, 20_000
 # Slots of the table in which pairs are looked up many at a time.
 _SLOTS = 1 << 20
 # A text that normalisation would change.
@@ -234,23 +236,37 @@ class PieceModel:
 
     def _learn(self) -> None:
         """Encodes the chunks that have just got a number."""
-        chunks, known = self._numbers.fresh, self._known_characters
-        short = np.array([len(c) <= _CHUNK_LENGTH and known.issuperset(c) for c in chunks])
-        counts = np.zeros(len(chunks), dtype=np.int64)
-        ids, counts[short] = self._encode_many([c for c, many in zip(chunks, short.tolist()) if many])
-        if not short.all():
-            alone = [self._encode_one(chunks[place]) for place in np.flatnonzero(~short).tolist()]
-            counts[~short] = list(map(len, alone))
-            together, ids = ids, np.zeros(counts.sum(), dtype=np.int32)
-            from_many = np.repeat(short, counts)
-            ids[from_many], ids[~from_many] = together, list(chain.from_iterable(alone))
-        self._flat, self._lengths = np.concatenate((self._flat, ids)), np.concatenate((self._lengths, counts))
+        chunks, self._numbers.fresh = self._numbers.fresh, []
+        flat, lengths = [self._flat], [self._lengths]
+        for start in range(0, len(chunks), _TOGETHER):
+            some, known = chunks[start : start + _TOGETHER], self._known_characters
+            short = np.array([len(c) <= _CHUNK_LENGTH and known.issuperset(c) for c in some])
+            counts = np.zeros(len(some), dtype=np.int64)
+            ids, counts[short] = self._encode_many([c for c, many in zip(some, short.tolist()) if many])
+            if not short.all():
+                alone = [self._encode_one(some[place]) for place in np.flatnonzero(~short).tolist()]
+                counts[~short] = list(map(len, alone))
+                together, ids = ids, np.zeros(counts.sum(), dtype=np.int32)
+                from_many = np.repeat(short, counts)
+                ids[from_many], ids[~from_many] = together, list(chain.from_iterable(alone))
+            flat.append(ids)
+            lengths.append(counts)
+        self._flat, self._lengths = np.concatenate(flat), np.concatenate(lengths)
         self._met = np.concatenate((self._met, np.zeros(len(chunks), dtype=np.int64)))
         self._characters += sum(map(len, chunks))
-        self._numbers.fresh = []
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each whole text, without begin and end; a chunk that repeats is encoded once."""
+        found, block, size = [], [], 0
+        for text in texts:
+            if block and size + len(text) > _BLOCK:
+                found += self._encode_block(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        return found + self._encode_block(block)
+
+    def _encode_block(self, texts: Sequence[str]) -> list[np.ndarray]:
         if len(self._numbers) > _CHUNKS or self._characters > _CHARACTERS:
             self._forget()
         parts = [self._chunk.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
@@ -261,7 +277,7 @@ class PieceModel:
             self._learn()
         self._met += np.bincount(numbers, minlength=len(self._met))
         bounds = np.concatenate(([0], np.cumsum(self._lengths[numbers])))[np.cumsum(sizes)]
-        return np.split(self._ids_of(numbers), bounds[:-1])
+        return np.split(self._ids_of(numbers), bounds[:-1]) if texts else []
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ``ids``: bytes in a row are read as UTF-8, the space put before a text goes."""
