@@ -19,7 +19,7 @@ from papyra.llm.stored import stored
 PAIR = 1 << 32
 # Pairs with at least one link in so many count as frequent, so there are at most so many of them.
 FREQUENT = 1 << 16
-_SLICE_BYTES, _SLICE_ROWS = 4 << 20, 10_000
+_SLICE_BYTES, _SLICE_ROWS = 2 << 20, 10_000
 
 
 def common_ends(a_ends: Sequence[np.ndarray], b_ends: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
