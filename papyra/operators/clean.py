@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
 from papyra.functions.text import normalize_date
+from papyra.sources.scratch import scratch_path
+from papyra.sources.sizes import can_broadcast
 
 
 def add_doc_id(df: DataFrame, name: str = "doc_id", key: str | None = None) -> DataFrame:
@@ -57,13 +59,23 @@ def drop_duplicate_texts(
     """Keep, of the rows with equal text, the one with the lowest id. Ids are unique, not null.
 
     Copies are found on a hash and an id, partly before the shuffle, so a text shared by a
-    third of all rows costs no more than any other. Whole rows are then moved by their id,
-    which spreads them evenly.
+    third of all rows costs no more than any other. Only texts that have copies leave the
+    aggregate; they are stored with their lowest id. If they have been measured to be few, they go
+    to where the rows are, and no row is moved. Otherwise all lowest ids are joined by id, which
+    spreads the rows evenly.
     """
-    survivors = df.groupBy(F.sha2(text_column, 256).alias("text_hash")).agg(
-        F.min(id_column).alias(id_column)
+    spark, text_hash = df.sparkSession, F.coalesce(F.sha2(F.col(text_column), 256), F.lit(""))
+    groups = df.groupBy(text_hash.alias("text_hash")).agg(
+        F.min(id_column).alias("lowest"), F.count("*").alias("copies")
     )
-    return df.join(survivors.select(id_column), id_column, "left_semi")
+    path = scratch_path(spark, "copies")
+    copied = groups.filter("copies > 1").select("text_hash", "lowest")
+    copied.write.parquet(path)
+    copied = spark.read.schema(copied.schema).parquet(path)
+    if can_broadcast(copied):
+        higher = (text_hash == copied["text_hash"]) & (F.col(id_column) > copied["lowest"])
+        return df.join(F.broadcast(copied), higher, "left_anti")
+    return df.join(groups.select(F.col("lowest").alias(id_column)), id_column, "left_semi")
 
 
 def fill_nulls(df: DataFrame, columns: Sequence[str] = fixed.NULL_FILLED) -> DataFrame:

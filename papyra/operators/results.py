@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from papyra.functions import fixed_values as fixed
 from papyra.functions.text import shorten
 from papyra.operators.summary import summarize
+from papyra.sources.scratch import scratch_path
+from papyra.sources.sizes import can_broadcast
 
 DISPLAY_COLUMNS = ("title", "summary", "publish_time")
 
@@ -24,11 +26,18 @@ def result_columns(hits: DataFrame) -> DataFrame:
 def add_summaries(hits: DataFrame, text_column: str = "abstract") -> DataFrame:
     """Hits that have a title, with a summary of each text.
 
-    A document that is a hit of several queries is summarised once.
+    The hits are worked out once and stored. A document that is a hit of several queries is
+    summarised once: the first of its rows is found by numbers alone, without moving texts.
     """
-    hits = drop_null_titles(hits)
-    texts = hits.select("doc_id", text_column).dropDuplicates(["doc_id"])
-    return hits.join(summarize(texts, text_column), "doc_id")
+    spark, path = hits.sparkSession, scratch_path(hits.sparkSession, "hits")
+    number = "_hit"
+    drop_null_titles(hits).withColumn(number, F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.parquet(path)
+    first = stored.groupBy("doc_id").agg(F.min(number).alias(number)).select(number)
+    if can_broadcast(first):
+        first = F.broadcast(first)
+    texts = stored.join(first, number, "left_semi").select("doc_id", text_column)
+    return stored.drop(number).join(summarize(texts, text_column), "doc_id")
 
 
 def result_records(hits: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

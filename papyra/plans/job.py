@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from papyra.operators.clean import add_doc_id
 from papyra.operators.select import sample_rows
 from papyra.plans.prepare import prepare_papers
-from papyra.sources.files import read_files, write_files
+from papyra.sources.files import read_files, write_by_id
 from papyra.sources.session import get_session
 
 
@@ -68,7 +68,8 @@ def prepare_files(
 
 def run(args: JobArguments, seed: int = 0) -> None:
     spark = get_session(args.env, "paper preparation")
-    write_files(prepare_files(spark, args, seed), args.output_path)
+    # By id, so that hits of a search are read from few files.
+    write_by_id(prepare_files(spark, args, seed), args.output_path)
 
 
 if __name__ == "__main__":

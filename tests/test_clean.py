@@ -150,3 +150,17 @@ def test_one_text_in_a_third_of_all_rows(spark):
     kept = clean.drop_duplicate_texts(df.repartition(8))
     assert kept.count() == 2_001
     assert [r[0] for r in kept.filter("abstract = 'same'").select("doc_id").collect()] == [0]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_copies_go_whatever_their_number(spark, few, monkeypatch):
+    monkeypatch.setattr(clean, "can_broadcast", lambda df: few)
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"t{i % 40}", "x", i) for i in range(1, 200)]
+    df = spark.createDataFrame(rows, "doc_id long, abstract string, text_hash string, lowest long").repartition(5)
+    kept = clean.drop_duplicate_texts(df)
+    assert kept.columns == df.columns
+    first = {}
+    for i, text, _, _ in rows:
+        first.setdefault(text, i)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())
+    assert clean.drop_duplicate_texts(df.limit(0)).collect() == []

@@ -58,9 +58,13 @@ def test_postings_need_no_shuffle(plans):
     assert "Exchange" not in plans["postings"]
 
 
-def test_dedup_hashes_before_the_shuffle(plans):
-    assert "SortAggregate" not in plans["dedup"]
-    assert "partial_min" in plans["dedup"]
+def test_dedup_moves_no_rows_when_copies_are_few(plans, docs, monkeypatch):
+    assert "BroadcastHashJoin" in plans["dedup"]
+    assert not any("hashpartitioning" in line for line in plans["dedup"].splitlines())
+    monkeypatch.setattr(clean, "can_broadcast", lambda df: False)
+    text = plan(clean.drop_duplicate_texts(docs.select("doc_id", "abstract")))
+    assert "partial_min" in text and "SortAggregate" not in text
+    assert "LeftSemi" in text and "LeftAnti" not in text
 
 
 def test_prepare_reads_only_what_it_writes(plans):
