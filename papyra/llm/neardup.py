@@ -23,8 +23,8 @@ THRESHOLD_PERCENT = 75
 # A pair is confirmed on its sets unless its estimate is this many standard errors too low.
 MARGIN = 4.0
 LEAST_ESTIMATE = THRESHOLD_PERCENT / 100 - MARGIN * math.sqrt(0.75 * 0.25 / REGISTERS)
-# Shingles in a block of bucket mates that are compared with each other in one task.
-BLOCK_ELEMENTS = 300_000
+# Shingles, and rows, in a part of a bucket; two parts are compared with each other in one group.
+BLOCK_ELEMENTS, BLOCK_ROWS = 300_000, 500
 # Ids go through pandas as text, since it keeps no integers beside nulls.
 _NOTE = "id string, key_a long, key_b long, n long, registers binary"
 _KEYS = random_words(2, 11)
@@ -133,8 +133,8 @@ def _rest(given: DataFrame, reps: DataFrame, buckets: DataFrame, label: DataFram
     """Links between bucket mates of different components, of which none is the leader.
 
     In a bucket with several components, members outside its leader's component are queries
-    against all members. Both sides are dealt into blocks of about ``BLOCK_ELEMENTS`` shingles;
-    pairs are compared inside a block, and only links leave it.
+    against all members. Both sides are dealt into parts of about ``BLOCK_ELEMENTS`` shingles
+    and ``BLOCK_ROWS`` rows at most; pairs are compared inside a block, and only links leave it.
     """
     lead = label.select(F.col("id").alias("leader"), F.col("component").alias("leading"))
     placed = (
@@ -149,7 +149,7 @@ def _rest(given: DataFrame, reps: DataFrame, buckets: DataFrame, label: DataFram
     placed = stored(placed, "placed")
     several = placed.groupBy("bucket").agg(
         F.count_if(F.col("outside")).alias("queries"), F.count("*").alias("mates"),
-        F.ceil(F.sum("n") / BLOCK_ELEMENTS).cast("int").alias("chunks"),
+        F.ceil(F.greatest(F.sum("n") / BLOCK_ELEMENTS, F.count("*") / BLOCK_ROWS)).cast("int").alias("chunks"),
     ).where("queries > 0 and mates > 2").select("bucket", "chunks")
     placed = placed.join(several, "bucket").where("not leads").withColumn(
         "chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
