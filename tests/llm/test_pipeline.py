@@ -7,6 +7,7 @@ import corpus_pipeline
 from papyra.llm import quality_rules, toxicity
 from papyra.llm.labels import agreed_labels
 from papyra.llm.packing import pack
+from papyra.llm.stored import numbered_in_place
 from papyra.llm.token_counts import token_counts
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -106,3 +107,17 @@ def test_text_ids_are_kept(spark):
     assert {r.doc_id for r in token_counts(docs).collect()} == {"a", None}
     machine = toxicity.train(docs, spark.createDataFrame([], "doc_id string, toxic int"))
     assert {r.doc_id for r in toxicity.score(docs, machine).collect()} == {"a", None}
+
+
+def test_rows_of_files_are_numbered_in_place(spark, tmp_path):
+    rows = [(i % 7, f"t{i}", "a", "b") for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string, _file string, _place string").repartition(5).write.parquet(
+        str(tmp_path / "t")
+    )
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = numbered_in_place(df, "_row")
+    assert found.columns == [*df.columns, "_row"]
+    first = {r["_row"]: r.text for r in found.collect()}
+    assert len(first) == 500 and {r["_row"]: r.text for r in found.repartition(3).collect()} == first
+    assert not list(tmp_path.glob("*numbered*")) and "numbered" not in "".join(found.inputFiles())
+    assert numbered_in_place(spark.createDataFrame(rows, df.schema), "_row").select("_row").distinct().count() == 500
