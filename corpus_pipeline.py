@@ -1,7 +1,7 @@
 """Training-corpus pipeline: each stage is written as Parquet and read again by the next.
 
 The stages keep every column of ``documents`` but the last, which gives packed pieces. Rows are
-judged each for itself, by a number that a stage stores beside them, so null, repeated and text ids
+judged each for itself, by the number of their file and their place in it, so null, repeated and text ids
 and columns of any name make no difference.
 """
 
@@ -15,7 +15,7 @@ from papyra.llm.neardup import near_duplicates
 from papyra.llm.packing import pack
 from papyra.llm.quality_rules import quality_rules
 from papyra.llm.secrets import scan_and_redact
-from papyra.llm.stored import free_name, numbered, stored
+from papyra.llm.stored import free_name, numbered_in_place, stored
 from papyra.sources.sizes import can_broadcast
 
 
@@ -28,14 +28,14 @@ def _without(rows: DataFrame, gone: DataFrame, row: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     row, labels = free_name(docs, "_row"), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = numbered(docs, row)
+    rows = numbered_in_place(docs, row)
     return _without(rows, quality_rules(rows, labels, row_col=row).where("not kept"), row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the first of those with the least id."""
     row = free_name(docs, "_row")
-    rows = numbered(docs, row)
+    rows = numbered_in_place(docs, row)
     found = near_duplicates(rows, id_col=row).select(F.col(row).alias("at"), F.col("component_id").alias("group"))
     others = stored(found.where("at <> group"), "others")
     members = others.unionByName(others.select(F.col("group").alias("at"), "group").distinct())
@@ -49,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
     row, items = free_name(docs, "_row"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = numbered(docs, row)
+    rows = numbered_in_place(docs, row)
     return _without(rows, decontaminate(rows, items, id_col=row).where("contaminated"), row)
 
 
