@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from papyra.llm.batches import list_column, text_slices
+from papyra.llm.batches import text_slices
 from papyra.llm.bpe import Encoder
 from papyra.llm.pieces import piece_model
 from papyra.llm.stored import stored
@@ -20,65 +20,117 @@ PAIR = 1 << 32
 # Pairs with at least one link in so many count as frequent, so there are at most so many of them.
 FREQUENT = 1 << 16
 _SLICE_BYTES, _SLICE_ROWS = 2 << 20, 10_000
+# Tokens of A after which a long document may be entered once more.
+_LANE = 256
 
 
 def common_ends(a_ends: Sequence[np.ndarray], b_ends: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(document, a, b)``: which tokens of A and B end together, by document and in order.
 
     ``a_ends`` and ``b_ends`` are the increasing byte ends of each document's tokens, both with the
-    same last one. One state vector holds both pointers of every unfinished document. In each step
-    the token that ends first is passed, or both where they end together, which is a link and a cut;
-    documents that are through leave the vector.
+    same last one.
     """
-    a_starts = np.concatenate(([0], np.cumsum([len(ends) for ends in a_ends])))
-    b_starts = np.concatenate(([0], np.cumsum([len(ends) for ends in b_ends])))
-    document = np.flatnonzero(np.diff(a_starts))
-    if not len(document):
+    a_bounds, b_bounds = _bounds(map(len, a_ends)), _bounds(map(len, b_ends))
+    if not a_bounds[-1]:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty
-    a_flat, b_flat = np.concatenate(a_ends), np.concatenate(b_ends)
-    a, b, a_stop = a_starts[document], b_starts[document], a_starts[document + 1]
-    links = []
-    while len(document):
-        a_end, b_end = a_flat[a], b_flat[b]
+    before = _bounds(int(ends[-1]) if len(ends) else 0 for ends in a_ends)
+    a_flat, b_flat = (np.concatenate([e + n for e, n in zip(ends, before)]) for ends in (a_ends, b_ends))
+    a, b = _lockstep(a_flat, b_flat, a_bounds)
+    document = np.searchsorted(a_bounds, a, side="right") - 1
+    return document, a - a_bounds[document], b - b_bounds[document]
+
+
+def _bounds(counts: Iterable[int]) -> np.ndarray:
+    """Where runs of these lengths begin when they stand in a row, and where the last one ends."""
+    return np.concatenate(([0], np.cumsum(np.fromiter(counts, dtype=np.int64))))
+
+
+def _lockstep(a_ends: np.ndarray, b_ends: np.ndarray, a_bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens of A and of B that end together; byte ends run on through all documents.
+
+    One state vector holds both pointers of every document. In each step the token that ends first
+    is passed, or both where they end together, which is a link and a cut; what is through leaves
+    the vector. So that a long document does not go on alone, it is entered at more places, each
+    right behind a common end.
+    """
+    a = np.unique(np.concatenate((a_bounds, np.arange(0, len(a_ends), _LANE))))
+    a = a[(a > 0) & (a < len(a_ends))]
+    before = np.searchsorted(b_ends, a_ends[a - 1])
+    common = b_ends[before] == a_ends[a - 1]
+    a, b = np.append(0, a[common]), np.append(0, before[common] + 1)
+    a_stop = np.append(a[1:], len(a_ends))
+    partner = np.full(len(a_ends), -1, dtype=np.int64)
+    while len(a):
+        a_end, b_end = a_ends[a], b_ends[b]
         both = a_end == b_end
-        if both.any():
-            links.append((document[both], a[both], b[both]))
+        partner[a[both]] = b[both]
         a = a + (a_end <= b_end)
         b = b + (b_end <= a_end)
         going = a < a_stop
         if not going.all():
-            document, a, b, a_stop = document[going], a[going], b[going], a_stop[going]
-    documents, a_linked, b_linked = map(np.concatenate, zip(*links))
-    order = np.argsort(documents, kind="stable")
-    documents = documents[order]
-    return documents, a_linked[order] - a_starts[documents], b_linked[order] - b_starts[documents]
+            a, b, a_stop = a[going], b[going], a_stop[going]
+    linked = np.flatnonzero(partner >= 0)
+    return linked, partner[linked]
+
+
+def _joined(entries: pa.Array, numbers: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The entries with these numbers in a row, and where each begins and the last one ends."""
+    if not len(numbers):
+        return pa.py_buffer(b""), np.zeros(1, dtype=np.int64)
+    taken = entries.take(pa.array(numbers, pa.int64()))
+    return taken.buffers()[2], np.frombuffer(taken.buffers()[1], dtype=np.int64)[: len(numbers) + 1]
+
+
+class _Side:
+    """The tokens of many documents in a row, for one vocabulary; ``entries`` are its ids' bytes."""
+
+    def __init__(self, entries: pa.Array, ids: Sequence[np.ndarray]):
+        self.ids, self.bounds = np.concatenate(ids).astype(np.int64), _bounds(map(len, ids))
+        self.raw, self.offsets = _joined(entries, self.ids)
+
+    def raw_of(self, place: int) -> bytes:
+        start, stop = self.offsets[self.bounds[place : place + 2]].tolist()
+        return self.raw.slice(start, stop - start).to_pybytes()
+
+    def keep(self, kept: np.ndarray) -> None:
+        """Leaves only the tokens of some of the documents; the others have none then."""
+        counts = np.diff(self.bounds)
+        tokens = np.repeat(kept, counts)
+        self.ids, lengths = self.ids[tokens], np.diff(self.offsets)[tokens]
+        self.bounds, self.ends = _bounds(np.where(kept, counts, 0)), np.cumsum(lengths)
 
 
 class _GroupText:
-    """Groups as a text, put together from the ids' numbers with the sign that follows each."""
+    """Groups as texts, put together from the ids' numbers with the sign that follows each."""
 
     def __init__(self, a_size: int, b_size: int):
         self._size = max(a_size, b_size)
-        numbers = list(map(str, range(self._size)))
         # An id inside its side of a group, the last of A's side, the last of B's, the last of all.
-        self._shown = [number + sign for sign in (",", "|", ";", "") for number in numbers]
-
-    def __call__(self, a_ids: np.ndarray, b_ids: np.ndarray, a_last: np.ndarray, b_last: np.ndarray) -> str:
-        if not len(a_last):
-            return ""
-        a, b = a_ids.astype(np.int64), b_ids.astype(np.int64)
-        a[a_last] += self._size
-        b[b_last] += 2 * self._size
-        b[-1] += self._size
+        self._shown = pa.array(
+            [f"{number}{sign}" for sign in (",", "|", ";", "") for number in range(self._size)], pa.large_string()
+        )
+
+    def __call__(self, a: _Side, b: _Side, a_last: np.ndarray, b_last: np.ndarray) -> pa.Array:
+        """One text for each document; ``a_last`` and ``b_last`` are the last tokens of the groups."""
+        a_ends, b_ends = np.zeros(len(a.ids), dtype=np.int64), np.zeros(len(b.ids), dtype=np.int64)
+        a_ends[a_last], b_ends[b_last] = 1, 1
         # Before an id of A stand the ids of B of all groups before its own; before one of B, those
         # of A of the groups up to its own.
-        a_groups = np.searchsorted(a_last, np.arange(len(a)))
-        b_groups = np.searchsorted(b_last, np.arange(len(b)))
-        shown = np.zeros(len(a) + len(b), dtype=np.int64)
-        shown[np.arange(len(a)) + np.concatenate(([0], b_last + 1))[a_groups]] = a
-        shown[np.arange(len(b)) + (a_last + 1)[b_groups]] = b
-        return "".join(map(self._shown.__getitem__, shown.tolist()))
+        a_groups, b_groups = np.cumsum(a_ends) - a_ends, np.cumsum(b_ends) - b_ends
+        signs = 2 * b_ends
+        signs[b.bounds[1:][np.diff(b.bounds) > 0] - 1] += 1
+        shown = np.zeros(len(a.ids) + len(b.ids), dtype=np.int64)
+        shown[np.arange(len(a.ids)) + np.append(0, b_last + 1)[a_groups]] = a.ids + a_ends * self._size
+        shown[np.arange(len(b.ids)) + np.append(a_last + 1, 0)[b_groups]] = b.ids + signs * self._size
+        text, offsets = _joined(self._shown, shown)
+        offsets = pa.py_buffer(offsets[a.bounds + b.bounds])
+        return pa.LargeStringArray.from_buffers(len(a.bounds) - 1, offsets, text).cast(pa.string())
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A column of lists, which lie in a row in ``values``."""
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
 def align(
@@ -102,34 +154,28 @@ def align(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_side, b_side = Encoder(a_vocabulary), piece_model(b_vocabulary)
-        nothing, show = np.zeros(0, dtype=np.int32), _GroupText(len(a_side.token_bytes), len(b_side.token_bytes))
+        show = _GroupText(len(a_side.token_bytes), len(b_side.token_bytes))
+        a_entries = pa.array([a_side.pieces.get(i, b"") for i in range(len(a_side.token_bytes))], pa.large_binary())
+        b_entries = pa.array(b_side.token_bytes, pa.large_binary())
         for part in text_slices(batches, 1, _SLICE_BYTES, _SLICE_ROWS):
             texts = [text or "" for text in part.column(1).to_pylist()]
-            a_ids, b_ids = a_side.encode(texts, spaced=True), b_side.encode(texts)
-            for place, text in enumerate(texts):
-                raw = b" " + text.encode()
-                if not text or not (
-                    raw == b"".join(map(a_side.pieces.__getitem__, a_ids[place].tolist()))
-                    == b"".join(map(b_side.token_bytes.__getitem__, b_ids[place].tolist()))
-                ):
-                    a_ids[place] = b_ids[place] = nothing
-            document, a, b = common_ends(
-                [np.cumsum(a_side.token_bytes[ids]) for ids in a_ids],
-                [np.cumsum(b_side.byte_lengths[ids]) for ids in b_ids],
-            )
-            bounds = np.searchsorted(document, np.arange(1, len(texts)))
-            a_linked, b_linked = np.split(a, bounds), np.split(b, bounds)
-            links = [
-                x[i].astype(np.int64) * PAIR + y[j]
-                for x, i, y, j in zip(a_ids, a_linked, b_ids, b_linked)
-            ]
-            lists = [list_column(x, pa.int32()) for x in (
-                a_ids, b_ids, [i + 1 for i in a_linked], [j + 1 for j in b_linked],
-            )]
-            texts = [show(*one) for one in zip(a_ids, b_ids, a_linked, b_linked)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *lists, list_column(links, pa.int64()), pa.array(texts, pa.string())], names=names
+            a, b = _Side(a_entries, a_side.encode(texts, spaced=True)), _Side(b_entries, b_side.encode(texts))
+            kept = np.array([
+                text != "" and b" " + text.encode() == a.raw_of(place) == b.raw_of(place)
+                for place, text in enumerate(texts)
+            ])
+            a.keep(kept)
+            b.keep(kept)
+            a_last, b_last = _lockstep(a.ends, b.ends, a.bounds) if len(a.ids) else (a.ids, b.ids)
+            bounds = np.searchsorted(a_last, a.bounds)
+            a_cuts, b_cuts = (
+                last + 1 - np.repeat(side.bounds[:-1], np.diff(bounds)) for side, last in ((a, a_last), (b, b_last))
             )
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), _lists(a.bounds, a.ids, pa.int32()), _lists(b.bounds, b.ids, pa.int32()),
+                _lists(bounds, a_cuts, pa.int32()), _lists(bounds, b_cuts, pa.int32()),
+                _lists(bounds, a.ids[a_last] * PAIR + b.ids[b_last], pa.int64()), show(a, b, a_last, b_last),
+            ], names=names)
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     whole = ArrayType(IntegerType())

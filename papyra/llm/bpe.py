@@ -110,10 +110,10 @@ class Encoder:
         entries = list(map(known.get, chunks))
         if None in entries:
             fresh = [chunk for chunk, entry in zip(chunks, entries) if entry is None]
-            encoded = [self._encoding.encode_ordinary(chunk.decode()) for chunk in fresh]
+            ids, lengths = self._encode_spaced(fresh) if spaced else self._encode_each(fresh)
             known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-            self._ids = np.concatenate((self._ids, np.fromiter((i for ids in encoded for i in ids), dtype="<u4")))
-            self._lengths = np.concatenate((self._lengths, np.fromiter(map(len, encoded), dtype=np.int64)))
+            self._ids = np.concatenate((self._ids, ids))
+            self._lengths = np.concatenate((self._lengths, lengths))
             entries = list(map(known.get, chunks))
         entries = np.array(entries, dtype=np.int64)[which]
         begins = np.cumsum(self._lengths) - self._lengths
@@ -125,6 +125,17 @@ class Encoder:
         for number, (place, _) in enumerate(block):
             result[place] = ids[bounds[number] : bounds[number + 1]]
 
+    def _encode_each(self, chunks: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has."""
+        encoded = [self._encoding.encode_ordinary(chunk.decode()) for chunk in chunks]
+        return np.fromiter((i for ids in encoded for i in ids), dtype="<u4"), np.fromiter(map(len, encoded), dtype=np.int64)
+
+    def _encode_spaced(self, chunks: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks that begin with their only space: in a row, each is still cut off before it."""
+        ids = self._whole(b"".join(chunks).decode())
+        stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(list(map(len, chunks))), side="right")
+        return ids, np.diff(stops, prepend=0)
+
     @staticmethod
     def _same(letters: np.ndarray, starts: np.ndarray, lengths: np.ndarray, like: np.ndarray) -> bool:
         """Whether each chunk has the very bytes of the chunk whose number ``like`` gives."""
