@@ -19,7 +19,7 @@ from papyra.llm.stored import stored
 PAIR = 1 << 32
 # Pairs with at least one link in so many count as frequent, so there are at most so many of them.
 FREQUENT = 1 << 16
-_SLICE_BYTES, _SLICE_ROWS = 2 << 20, 10_000
+_SLICE_BYTES, _SLICE_ROWS = 1 << 20, 10_000
 # Tokens of A after which a long document may be entered once more.
 _LANE = 256
 
@@ -176,6 +176,8 @@ def align(
                 _lists(bounds, a_cuts, pa.int32()), _lists(bounds, b_cuts, pa.int32()),
                 _lists(bounds, a.ids[a_last] * PAIR + b.ids[b_last], pa.int64()), show(a, b, a_last, b_last),
             ], names=names)
+        # The worker stays for later tasks; what it does not use goes back.
+        pa.default_memory_pool().release_unused()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     whole = ArrayType(IntegerType())
