@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from papyra.llm.batches import text_slices
-from papyra.llm.bpe import Encoder
-from papyra.llm.pieces import piece_model
+from papyra.llm.bpe import rank_vocabulary
+from papyra.llm.pieces import MODEL, SPACE
 from papyra.llm.stored import stored
 
 # A pair of ids as one number: the first id times this, and the second.
@@ -22,6 +25,10 @@ FREQUENT = 1 << 16
 _SLICE_BYTES, _SLICE_ROWS = 1 << 20, 10_000
 # Tokens of A after which a long document may be entered once more.
 _LANE = 256
+# Characters of a longer text that are encoded at a time by the piece model.
+_PART = 1 << 16
+# A text that normalisation would change.
+_PROBE = "  \ufb01\t a "
 
 
 def common_ends(a_ends: Sequence[np.ndarray], b_ends: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,6 +89,59 @@ def _joined(entries: pa.Array, numbers: np.ndarray) -> tuple[pa.Buffer, np.ndarr
     return taken.buffers()[2], np.frombuffer(taken.buffers()[1], dtype=np.int64)[: len(numbers) + 1]
 
 
+class _Ranks:
+    """Ids of whole texts after one more space from a byte-level vocabulary, by the library itself."""
+
+    def __init__(self, path: str | None = None):
+        self._encoding, ranks = rank_vocabulary(path)
+        #: What each id stands for.
+        self.token_bytes = [b""] * (max(ranks.values()) + 1)
+        for entry, number in ranks.items():
+            self.token_bytes[number] = entry
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        return [self._encoding.encode_to_numpy(" " + text) for text in texts]
+
+
+class _Pieces:
+    """Ids of whole texts from a piece model, by the library itself."""
+
+    def __init__(self, path: str | None = None):
+        import public_tokenizers
+        import sentencepiece
+
+        self._model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(MODEL))
+        pieces = list(map(self._model.id_to_piece, range(self._model.get_piece_size())))
+        #: What each id stands for.
+        self.token_bytes = [
+            bytes([int(piece[1:-1], 16)]) if self._model.is_byte(number) else piece.replace(SPACE, " ").encode()
+            for number, piece in enumerate(pieces)
+        ]
+        # Where no piece goes on with a space after another character, and one space is put before
+        # each text and nothing else is changed, a text may be encoded in parts that begin at spaces.
+        crossing = any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in pieces)
+        probe = b"".join(map(self.token_bytes.__getitem__, self._model.encode(_PROBE)))
+        whole = crossing or probe != b" " + _PROBE.encode()
+        self._bound = None if whole else re.compile(f"(?<=[^ {SPACE}]) (?=.)", re.DOTALL)
+
+    def _parts(self, text: str) -> list[str]:
+        """``text`` cut into parts of bounded length, each without the space that it begins with."""
+        parts, start = [], 0
+        while self._bound and len(text) - start > _PART:
+            bound = self._bound.search(text, start + _PART)
+            if not bound:
+                break
+            parts.append(text[start : bound.start()])
+            start = bound.end()
+        return parts + [text[start:]]
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        parts = map(self._parts, texts)
+        return [
+            np.fromiter(chain.from_iterable(map(self._model.encode, some)), dtype=np.int32) for some in parts
+        ]
+
+
 class _Side:
     """The tokens of many documents in a row, for one vocabulary; ``entries`` are its ids' bytes."""
 
@@ -128,6 +188,26 @@ class _GroupText:
         return pa.LargeStringArray.from_buffers(len(a.bounds) - 1, offsets, text).cast(pa.string())
 
 
+class _Vocabularies:
+    """Both sides' encoders, their ids' bytes and the groups' texts."""
+
+    def __init__(self, a_path: str | None, b_path: str | None):
+        self._encoders = _Ranks(a_path), _Pieces(b_path)
+        sizes = [len(encoder.token_bytes) for encoder in self._encoders]
+        self._entries = [pa.array(encoder.token_bytes, pa.large_binary()) for encoder in self._encoders]
+        self.show = _GroupText(*sizes)
+
+    def sides(self, texts: Sequence[str]) -> Iterator[_Side]:
+        for encoder, entries in zip(self._encoders, self._entries):
+            yield _Side(entries, encoder.encode(texts))
+
+
+@lru_cache(maxsize=2)
+def _vocabularies(a_path: str | None = None, b_path: str | None = None) -> _Vocabularies:
+    """Kept by the worker for its later tasks."""
+    return _Vocabularies(a_path, b_path)
+
+
 def _lists(bounds: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A column of lists, which lie in a row in ``values``."""
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
@@ -153,13 +233,10 @@ def align(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = Encoder(a_vocabulary), piece_model(b_vocabulary)
-        show = _GroupText(len(a_side.token_bytes), len(b_side.token_bytes))
-        a_entries = pa.array([a_side.pieces.get(i, b"") for i in range(len(a_side.token_bytes))], pa.large_binary())
-        b_entries = pa.array(b_side.token_bytes, pa.large_binary())
+        both = _vocabularies(a_vocabulary, b_vocabulary)
         for part in text_slices(batches, 1, _SLICE_BYTES, _SLICE_ROWS):
             texts = [text or "" for text in part.column(1).to_pylist()]
-            a, b = _Side(a_entries, a_side.encode(texts, spaced=True)), _Side(b_entries, b_side.encode(texts))
+            a, b = both.sides(texts)
             kept = np.array([
                 text != "" and b" " + text.encode() == a.raw_of(place) == b.raw_of(place)
                 for place, text in enumerate(texts)
@@ -174,7 +251,7 @@ def align(
             yield pa.RecordBatch.from_arrays([
                 part.column(0), _lists(a.bounds, a.ids, pa.int32()), _lists(b.bounds, b.ids, pa.int32()),
                 _lists(bounds, a_cuts, pa.int32()), _lists(bounds, b_cuts, pa.int32()),
-                _lists(bounds, a.ids[a_last] * PAIR + b.ids[b_last], pa.int64()), show(a, b, a_last, b_last),
+                _lists(bounds, a.ids[a_last] * PAIR + b.ids[b_last], pa.int64()), both.show(a, b, a_last, b_last),
             ], names=names)
         # The worker stays for later tasks; what it does not use goes back.
         pa.default_memory_pool().release_unused()

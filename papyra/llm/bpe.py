@@ -31,20 +31,24 @@ def ranks_path() -> str:
     return public_tokenizers.path(RANKS)
 
 
+def rank_vocabulary(path: str | None = None):
+    """The encoding of a rank file by the library, and the id of each entry's bytes."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path or ranks_path(), "rb") as lines:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding(
+        "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    ), ranks
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids; one object serves one task."""
 
     def __init__(self, path: str | None = None):
-        import public_tokenizers
-        import tiktoken
-
-        with open(path or ranks_path(), "rb") as lines:
-            ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-        self._encoding = tiktoken.Encoding(
-            "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-        #: The bytes that each id stands for, and how many they are.
-        self.pieces = {rank: piece for piece, rank in ranks.items()}
+        self._encoding, ranks = rank_vocabulary(path)
+        #: How many bytes of text each id stands for.
         self.token_bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for piece, rank in ranks.items():
             self.token_bytes[rank] = len(piece)
@@ -57,11 +61,8 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._encoding.encode_ordinary(text), dtype="<u4")
 
-    def encode(self, texts: Sequence[str], spaced: bool = False) -> list[np.ndarray]:
-        """The ids of each text, whole; special tokens' strings are ordinary text.
-
-        With ``spaced``, those of the text after one more space.
-        """
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """The ids of each text, whole; special tokens' strings are ordinary text."""
         result: list[np.ndarray | None] = [None] * len(texts)
         block, size = [], 0
         for place, text in enumerate(texts):
@@ -70,19 +71,19 @@ class Encoder:
                 or _WIDE_SPACE.search(text) or "  " in text or "\n " in text or "\t " in text
                 or "\r " in text or "\x0b " in text or "\x0c " in text
             ):
-                result[place] = self._whole(" " + text if spaced else text)
+                result[place] = self._whole(text)
                 continue
             raw = text.encode()
             if block and size + len(raw) > _BLOCK_BYTES:
-                self._encode_block(block, result, spaced)
+                self._encode_block(block, result)
                 block, size = [], 0
             block.append((place, raw))
             size += len(raw)
         if block:
-            self._encode_block(block, result, spaced)
+            self._encode_block(block, result)
         return result
 
-    def _encode_block(self, block: list[tuple[int, bytes]], result: list, spaced: bool) -> None:
+    def _encode_block(self, block: list[tuple[int, bytes]], result: list) -> None:
         if len(self._known) > REMEMBERED:
             self._forget()
         joined = b" ".join(raw for _, raw in block) + b" "
@@ -93,15 +94,14 @@ class Encoder:
         text_ends = np.cumsum([len(raw) + 1 for _, raw in block])
         first_chunk = np.concatenate(([0], np.searchsorted(ends, text_ends - 1) + 1))
         hashes = byte_hashes(letters, starts, lengths)
-        if not spaced:
-            hashes[first_chunk[:-1]] ^= np.uint64(0x5851F42D4C957F2D)
+        hashes[first_chunk[:-1]] ^= np.uint64(0x5851F42D4C957F2D)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
         if not self._same(letters, starts, lengths, one[which]):
             for place, raw in block:
-                result[place] = self._whole((b" " * spaced + raw).decode())
+                result[place] = self._whole(raw.decode())
             return
         heads = np.zeros(len(starts), dtype=bool)
-        heads[first_chunk[:-1]] = not spaced
+        heads[first_chunk[:-1]] = True
         chunks = [
             (b"" if head else b" ") + joined[start:end]
             for start, end, head in zip(starts[one].tolist(), ends[one].tolist(), heads[one].tolist())
@@ -110,10 +110,10 @@ class Encoder:
         entries = list(map(known.get, chunks))
         if None in entries:
             fresh = [chunk for chunk, entry in zip(chunks, entries) if entry is None]
-            ids, lengths = self._encode_spaced(fresh) if spaced else self._encode_each(fresh)
+            encoded = [self._encoding.encode_ordinary(chunk.decode()) for chunk in fresh]
             known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-            self._ids = np.concatenate((self._ids, ids))
-            self._lengths = np.concatenate((self._lengths, lengths))
+            self._ids = np.concatenate((self._ids, np.fromiter((i for ids in encoded for i in ids), dtype="<u4")))
+            self._lengths = np.concatenate((self._lengths, np.fromiter(map(len, encoded), dtype=np.int64)))
             entries = list(map(known.get, chunks))
         entries = np.array(entries, dtype=np.int64)[which]
         begins = np.cumsum(self._lengths) - self._lengths
@@ -125,17 +125,6 @@ class Encoder:
         for number, (place, _) in enumerate(block):
             result[place] = ids[bounds[number] : bounds[number + 1]]
 
-    def _encode_each(self, chunks: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has."""
-        encoded = [self._encoding.encode_ordinary(chunk.decode()) for chunk in chunks]
-        return np.fromiter((i for ids in encoded for i in ids), dtype="<u4"), np.fromiter(map(len, encoded), dtype=np.int64)
-
-    def _encode_spaced(self, chunks: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for chunks that begin with their only space: in a row, each is still cut off before it."""
-        ids = self._whole(b"".join(chunks).decode())
-        stops = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(list(map(len, chunks))), side="right")
-        return ids, np.diff(stops, prepend=0)
-
     @staticmethod
     def _same(letters: np.ndarray, starts: np.ndarray, lengths: np.ndarray, like: np.ndarray) -> bool:
         """Whether each chunk has the very bytes of the chunk whose number ``like`` gives."""

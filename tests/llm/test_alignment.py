@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from papyra.llm import queries
+from papyra.llm import alignment, queries
 from papyra.llm.alignment import align, common_ends, with_support
 from papyra.llm.pieces import decode_pieces, encode_pieces, piece_model
 
@@ -43,6 +43,15 @@ def test_encoding_equals_the_library(library, text):
     assert model.decode(ids) == library.decode(ids.tolist())
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text("ab ▁th\n\té<>", max_size=80), st.integers(1, 9))
+def test_encoding_in_parts_equals_the_library(library, text, part):
+    encoder = alignment._vocabularies()._encoders[1]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(alignment, "_PART", part)
+        assert encoder.encode([text])[0].tolist() == library.encode(text)
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 31_999), st.sampled_from([1, 2, 259, 28705])), max_size=9))
 def test_decoding_any_ids_equals_the_library(library, ids):
