@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from papyra.functions import fixed_values as fixed
 from papyra.functions.text import tokenize
@@ -203,15 +204,23 @@ def batch_topk(
     The index keeps each document's terms in one row, so a document's score for every query is
     added up where the row is read, zeros included, and each task sends on its best
     ``num_results`` per query: no pair of query and document crosses the network. The weights of
-    the query terms go to all tasks; so many queries that their weights have not been measured to
-    be small are worked through in parts of equal size.
+    the query terms, with the ids of their queries, go to all tasks; so many that they have not
+    been measured to be small are worked through in parts, each of which has, or is one query. Queries without a
+    word that the index holds need no document read: they get the lowest ids.
     """
-    weights = query_weights(index, query_terms(queries, index), index.terms).select("qid", "term", "weight")
-    ids = queries.select("qid").distinct()
-    blocks, most = 1, ids.count()
-    while blocks < most and not can_broadcast(
-        weights.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == 0)
-    ):
+    spark, path = corpus.sparkSession, scratch_path(corpus.sparkSession, "weights")
+    query_weights(index, query_terms(queries, index), index.terms).select("qid", "term", "weight").write.parquet(path)
+    weights = spark.read.parquet(path)
+    known = weights.select(F.col("qid").alias("_known")).distinct()
+    blocks = 1
+
+    def part_of(block: int) -> DataFrame:
+        return weights.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block)
+
+    def divisible(part: DataFrame) -> bool:
+        return not can_broadcast(part) and len(part.select("qid").distinct().limit(2).collect()) > 1
+
+    while any(divisible(part_of(block)) for block in range(blocks)):
         blocks *= 2
     documents = index.documents
     if flag in index.flags:
@@ -219,32 +228,31 @@ def batch_topk(
     elif flag is not None:
         documents = documents.join(corpus.filter(F.col(flag)).select("doc_id"), "doc_id", "left_semi")
     avgdl = index.stats.first()["avgdl"]
-    parts = []
+    # No more rows than the hits asked for.
+    lowest = [r["doc_id"] for r in documents.select("doc_id").orderBy("doc_id").limit(num_results).collect()]
+    lowest = F.array(*map(F.lit, lowest)).cast(ArrayType(documents.schema["doc_id"].dataType))
+    best = queries.select("qid").distinct().join(known, F.col("qid").eqNullSafe(F.col("_known")), "left_anti").select(
+        "qid", F.explode(lowest).alias("doc_id"), F.lit(0.0).alias("score")
+    )
     for block in range(blocks):
-        here = F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block
-        parts.append(_block_topk(documents, ids.filter(here), weights.filter(here), avgdl, num_results))
-    best = parts[0]
-    for part in parts[1:]:
-        best = best.unionByName(part)
+        if not part_of(block).isEmpty():
+            best = best.unionByName(_block_topk(documents, part_of(block), avgdl, num_results))
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(*best_first()))
     return best.withColumn("rank", rank).filter(F.col("rank") <= num_results).select(
         "qid", "rank", "doc_id", "score"
     )
 
 
-def _block_topk(
-    documents: DataFrame, ids: DataFrame, weights: DataFrame, avgdl: float, num_results: int
-) -> DataFrame:
+def _block_topk(documents: DataFrame, weights: DataFrame, avgdl: float, num_results: int) -> DataFrame:
     """The best of each task's documents for each query; what is collected was measured."""
-    kinds = {f.name: f.dataType.simpleString() for f in ids.schema} | {
+    kinds = {f.name: f.dataType.simpleString() for f in weights.schema} | {
         f.name: f.dataType.simpleString() for f in documents.schema
     }
-    names = ids.orderBy("qid").toArrow()["qid"].combine_chunks()
-    number = {name: i for i, name in enumerate(names.to_pylist())}
-    found = weights.orderBy("term", "qid").toPandas()
-    terms, first = np.unique(found["term"].to_numpy(dtype=object), return_index=True)
-    query = np.array([number[q] for q in found["qid"]], dtype=np.int64)
-    weight = found["weight"].to_numpy(dtype=np.float64)
+    found = weights.orderBy("term", "qid").toArrow().combine_chunks()
+    names = pc.unique(found["qid"])
+    terms, first = np.unique(found["term"].to_numpy().astype(object), return_index=True)
+    query = pc.index_in(found["qid"], value_set=names).to_numpy().astype(np.int64)
+    weight = found["weight"].to_numpy()
     bounds = np.append(first, len(found))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -175,6 +175,31 @@ def test_batch_equals_single_searches(spark, corpus, index, docs, small, monkeyp
         assert [m[1:] for m in mine] == [tuple(r) for r in single]
 
 
+@pytest.mark.parametrize("rows", [20, 3])
+def test_every_block_of_queries_is_measured(spark, corpus, index, docs, rows, monkeypatch):
+    """Blocks are as small as asked for, and queries without known words are in none."""
+    seen, measured = [], lambda df: df.count() <= rows
+    block = s._block_topk
+    monkeypatch.setattr(s, "can_broadcast", measured)
+    monkeypatch.setattr(s, "_block_topk", lambda documents, weights, *rest: (
+        seen.append([(r["qid"], r["term"]) for r in weights.collect()]), block(documents, weights, *rest)
+    )[1])
+    texts = {f"q{i}": f"w{i} w{i + 1}" for i in range(8)} | {f"u{i}": "unseen" for i in range(50)} | {None: "none"}
+    queries = spark.createDataFrame(list(texts.items()), "qid string, text string")
+    found = s.batch_topk(index, corpus, queries, 4).collect()
+    assert all(len(part) <= rows for part in seen) and {q for part in seen for q, _ in part} == {f"q{i}" for i in range(8)}
+    for qid, text in texts.items():
+        got = sorted((r["rank"], r["doc_id"], r["score"]) for r in found if r["qid"] == qid)
+        assert [(d, pytest.approx(x, abs=1e-9)) for _, d, x in got] == best(okapi(docs, text.split()), 4)
+
+
+def test_batch_without_known_words_or_queries(spark, corpus, index):
+    queries = spark.createDataFrame([(1, "unseen"), (2, None)], "qid long, text string")
+    found = s.batch_topk(index, corpus, queries, 3).collect()
+    assert sorted((r["qid"], r["rank"], r["score"]) for r in found) == [(q, k, 0.0) for q in (1, 2) for k in (1, 2, 3)]
+    assert s.batch_topk(index, corpus, queries.limit(0), 3).collect() == []
+
+
 @pytest.mark.parametrize("ids", [[7, 8, 9, 4, 5, 6, 1, 2, 3], [1, 2, 3, 4, 5, 6, 7, 8, 9], list("gihfdeabc")])
 def test_zeros_of_later_batches_have_lower_ids(ids):
     ids_of = s.pa.array(ids)
