@@ -24,6 +24,9 @@ PUSHED_IDS = 1_000
 RANK_DECIMALS = 9
 # Bounds and scores that differ by less than rounding may are taken for equal.
 SLACK = 1e-6
+# In batch search, the documents that a task scores at once have so many words of queries, each counted
+# once for a query, and so many pairs with a query; or they are one.
+SLICE_ENTRIES = 1_000_000
 
 
 def query_terms(queries: DataFrame, index: Bm25Index) -> DataFrame:
@@ -255,27 +258,50 @@ def _block_topk(documents: DataFrame, weights: DataFrame, avgdl: float, num_resu
     weight = found["weight"].to_numpy()
     bounds = np.append(first, len(found))
 
+    repeats = np.diff(bounds)
+    known_terms = pa.array(terms, pa.string())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(names), num_results)
         for batch in batches:
             lists = batch.column(2)
-            tokens, counts = lists.flatten().field(0), lists.flatten().field(1).to_numpy()
-            sizes = pc.list_value_length(lists).to_numpy()
-            doc = np.repeat(np.arange(len(batch)), sizes)
-            place = pc.index_in(tokens, value_set=pa.array(terms, pa.string()))
-            known = np.flatnonzero(place.is_valid())
-            term = place.drop_null().to_numpy().astype(np.int64)
-            repeats = bounds[term + 1] - bounds[term]
-            entry = np.repeat(bounds[term] - (np.cumsum(repeats) - repeats), repeats) + np.arange(repeats.sum())
-            row = np.repeat(doc[known], repeats)
-            tf = np.repeat(counts[known], repeats).astype(np.float64)
-            length = batch.column(1).to_numpy()[row]
-            part = term_score(weight[entry], tf, length, avgdl)
-            pair, which = np.unique(row * len(names) + query[entry], return_inverse=True)
-            score = np.round(np.bincount(which, part, len(pair)), RANK_DECIMALS)
-            best.add(batch.column(0), pair // len(names), pair % len(names), score)
+            place = pc.fill_null(pc.index_in(lists.flatten().field(0), value_set=known_terms), -1).to_numpy()
+            tf = lists.flatten().field(1).to_numpy()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+            # What the documents up to each add to scores: a value for each query with the word.
+            entries = np.append(0, np.cumsum(np.where(place < 0, 0, repeats[place])))[ends]
+            start = 0
+            while start < len(batch):
+                before = entries[start - 1] if start else 0
+                end = int(np.searchsorted(entries, before + SLICE_ENTRIES, side="right"))
+                end = max(min(end, start + SLICE_ENTRIES // len(names)), start + 1)
+                inside = slice(ends[start - 1] if start else 0, ends[end - 1])
+                sizes = np.diff(ends[start:end], prepend=inside.start)
+                part = batch.slice(start, end - start)
+                best.add(part.column(0), *scores(part.column(1).to_numpy(), sizes, place[inside], tf[inside]))
+                start = end
         yield from best.batches(names)
 
+    def scores(dl: np.ndarray, sizes: np.ndarray, place: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rows, queries and scores of the documents of a slice that have words of a query."""
+        known = np.flatnonzero(place >= 0)
+        term, row = place[known], np.repeat(np.arange(len(dl)), sizes)[known]
+        count = repeats[term]
+        entry = np.repeat(bounds[term] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        of = np.repeat(np.arange(len(term)), count)
+        part = term_score(weight[entry], tf[known].astype(np.float64)[of], dl[row][of], avgdl)
+        pair = row[of] * len(names) + query[entry]
+        cells = len(dl) * len(names)
+        total = np.round(np.bincount(pair, part, cells), RANK_DECIMALS)
+        found = np.bincount(pair, minlength=cells) > 0
+        if len(dl) > num_results:
+            # Where enough documents of the slice match, only those that reach the last of them count.
+            table = total.reshape(len(dl), len(names))
+            least = np.partition(table, len(dl) - num_results, axis=0)[len(dl) - num_results]
+            found &= ((table >= least) | (least <= 0)).ravel()
+        at = np.flatnonzero(found)
+        return at // len(names), at % len(names), total[at]
+
     schema = f"qid {kinds['qid']}, doc_id {kinds['doc_id']}, score double"
     return documents.select("doc_id", "dl", "terms").mapInArrow(run, schema)
 
@@ -296,6 +322,11 @@ class _Best:
             last = np.arange(len(of)) - np.searchsorted(of, of) == self.num_results - 1
             lower = pc.fill_null(pc.less(self.table["doc_id"], pc.min(ids)), False).to_numpy()
             full[of[last & ((kept > 0) | (kept == 0) & lower)]] = True
+            # Matches below the last row kept cannot be among the best.
+            least = np.full(self.queries, -np.inf)
+            least[of[last & (kept > 0)]] = kept[last & (kept > 0)]
+            hopeful = score >= least[query]
+            row, query, score = row[hopeful], query[hopeful], score[hopeful]
         by_query = np.argsort(query, kind="stable")
         rows_of = row[by_query]
         starts = np.searchsorted(query[by_query], np.arange(self.queries + 1))

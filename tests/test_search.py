@@ -307,3 +307,14 @@ def test_broadcast_is_measured(spark, monkeypatch):
     assert not sizes.can_broadcast(df)
     monkeypatch.setattr(sizes, "BROADCAST_ROWS", 9)
     assert not sizes.can_broadcast(df.select("id"))
+
+
+def test_batch_scores_documents_in_bounded_slices(index, corpus, spark, monkeypatch):
+    """Few at a time, and whatever the slices are, the same hits come out."""
+    queries = spark.createDataFrame(
+        [(1, "often seldom"), (2, "often"), (3, "seldom"), (4, "unheard")], "qid long, text string"
+    )
+    whole = sorted(s.batch_topk(index, corpus, queries, 4).collect())
+    for size in (1, 7, 40):
+        monkeypatch.setattr(s, "SLICE_ENTRIES", size)
+        assert sorted(s.batch_topk(index, corpus, queries, 4).collect()) == whole
