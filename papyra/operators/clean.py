@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
-from papyra.functions.text import normalize_date
+from papyra.functions.text import matches, normalize_date, remove_matches
 from papyra.sources.scratch import scratch_path
 from papyra.sources.sizes import can_broadcast
 
@@ -42,7 +42,7 @@ def clean_title(df: DataFrame, relevant: str | None = None) -> DataFrame:
     """Blank titles that are null, or short and without a match for ``relevant``."""
     title = F.coalesce("title", F.lit(""))
     relevant = fixed.RELEVANT_TITLE if relevant is None else relevant
-    junk = (F.length(title) < fixed.SHORT_TITLE) & ~title.rlike(relevant)
+    junk = (F.length(title) < fixed.SHORT_TITLE) & ~matches(title, relevant)
     return df.withColumn("title", F.when(junk, "").otherwise(title))
 
 
@@ -50,7 +50,9 @@ def clean_abstract(df: DataFrame, noise: str | None = None) -> DataFrame:
     """Put the title for a missing abstract and strip the words matching ``noise``."""
     noise = fixed.ABSTRACT_NOISE if noise is None else noise
     abstract = F.nullif(F.col("abstract"), F.lit(fixed.UNKNOWN_ABSTRACT))
-    return df.withColumn("abstract", F.regexp_replace(F.coalesce(abstract, "title"), noise, ""))
+    return df.withColumn("abstract", F.coalesce(abstract, "title")).withColumn(
+        "abstract", remove_matches("abstract", noise)
+    )
 
 
 def drop_duplicate_texts(

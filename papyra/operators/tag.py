@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyra.functions import fixed_values as fixed
+from papyra.functions.text import matches
 
 
 def _never_null(condition: Column) -> Column:
@@ -29,7 +30,7 @@ def tag_covid(
     terms = fixed.COVID_TERMS if covid_terms is None else covid_terms
     date = F.col(date_column).cast("string")
     recent = (date > fixed.COVID_TAG_DATE) | date.isNull()
-    mentioned = F.col(abstract_column).rlike("|".join(terms))
+    mentioned = matches(abstract_column, "|".join(terms))
     return df.withColumn("covid_related", _never_null(recent | mentioned))
 
 
@@ -37,14 +38,14 @@ def tag_virus(
     df: DataFrame, abstract_column: str = "abstract", virus_pattern: str | None = None
 ) -> DataFrame:
     pattern = fixed.VIRUS_PATTERN if virus_pattern is None else virus_pattern
-    return df.withColumn("virus_related", _never_null(F.col(abstract_column).rlike(pattern)))
+    return df.withColumn("virus_related", _never_null(matches(abstract_column, pattern)))
 
 
 def tag_coronavirus(
     df: DataFrame, abstract_column: str = "abstract", corona_pattern: str | None = None
 ) -> DataFrame:
     pattern = fixed.CORONA_PATTERN if corona_pattern is None else corona_pattern
-    return df.withColumn("corona_related", _never_null(F.col(abstract_column).rlike(pattern)))
+    return df.withColumn("corona_related", _never_null(matches(abstract_column, pattern)))
 
 
 def tag_sars(
@@ -52,5 +53,5 @@ def tag_sars(
 ) -> DataFrame:
     """True where the pattern matches and ``covid_related``, which must be there, is false."""
     pattern = fixed.SARS_PATTERN if sars_pattern is None else sars_pattern
-    matches = F.col(abstract_column).rlike(pattern)
-    return df.withColumn("sars_related", _never_null(~F.col("covid_related") & matches))
+    mentioned = matches(abstract_column, pattern)
+    return df.withColumn("sars_related", _never_null(~F.col("covid_related") & mentioned))

@@ -58,6 +58,15 @@ def test_postings_need_no_shuffle(plans):
     assert "Exchange" not in plans["postings"]
 
 
+def test_plain_words_are_looked_for_without_a_pattern(plans):
+    """Nor does a pattern cut words; the noise pattern is left to texts that hold one of its words."""
+    assert "Contains(abstract" in plans["prepare"] and "RLIKE virus" not in plans["prepare"]
+    for line in plans["prepare"].splitlines():
+        assert line.count("regexp_replace(") == line.count(" THEN regexp_replace(")
+    assert ", -1)" in plans["postings"] and "split(" in plans["postings"]
+    assert "+|--" not in plans["postings"]
+
+
 def test_dedup_moves_no_rows_when_copies_are_few(plans, docs, monkeypatch):
     assert "BroadcastHashJoin" in plans["dedup"]
     assert not any("hashpartitioning" in line for line in plans["dedup"].splitlines())

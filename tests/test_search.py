@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyra.operators import search as s
+from papyra.operators.bm25 import bm25_terms
 from papyra.plans.index import build_index, load_index
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -106,6 +107,15 @@ def blocked(spark, tmp_path_factory):
     return docs, spark.read.parquet(f"{path}/c"), index
 
 
+def test_terms_are_counted_from_blocks(blocked):
+    """The many postings are aggregated once, for the blocks; terms follow from these."""
+    docs, _, index = blocked
+    df = Counter(word for words in docs.values() for word in set(words))
+    cf = Counter(word for words in docs.values() for word in words)
+    for terms in (index.terms, bm25_terms(index.blocks, len(docs))):
+        assert {(r["term"], r["df"], r["cf"]) for r in terms.collect()} == {(w, df[w], cf[w]) for w in cf}
+
+
 @pytest.mark.parametrize("query, k, pushed", [
     ("often seldom", 5, 1000), ("often", 3, 2), ("seldom", 40, 1000), ("often x1 x2 seldom", 4, 2), ("x7 x8 x9", 500, 1000),
 ])

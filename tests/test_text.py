@@ -72,6 +72,20 @@ def test_long_runs_of_separators(spark):
     assert evaluate(spark, [text], x.tokenize("s").alias("t"))[0][0] == ["alpha", "beta"]
 
 
+def test_patterns_of_plain_words(spark):
+    """Words of a pattern are found and removed as by the pattern: the leftmost first, and once."""
+    texts = ["Abstracthion, Abstract", "AbsSummarytract", "thithionon", "abstract Sum mary", "Summmary ac", "", None]
+    for pattern, words in (
+        ("(Abstract|Summary|thion)", True), ("thion|Abstract", True), ("Sum+ary", False), ("(a|b)(c|d)", False),
+        ("(Abstract|Sum.ary)", False), ("a|b?c", False),
+    ):
+        assert bool(x.plain_words(pattern)) is words
+        removed, found = x.remove_matches("s", pattern), x.matches("s", pattern)
+        assert evaluate(spark, texts, removed.alias("r"), found.alias("f")) == [
+            (None, None) if t is None else (re.sub(pattern, "", t), bool(re.search(pattern, t))) for t in texts
+        ]
+
+
 def test_own_stop_words(spark):
     got = evaluate(spark, ["the flu the"], x.tokenize("s", ("flu",)).alias("t"))
     assert got[0][0] == ["the", "the"]
